@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, mixing, quality_rules, sharding, warc
+from . import decontam, mixing, neardup, quality_rules, sharding, warc
 from .common import Scratch, table
 from .queries_sql import ORACLE  # noqa: F401
 
@@ -43,10 +43,16 @@ def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return s.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return neardup.near_duplicates(docs, Scratch(spark, "op10"), size=4, percent=80)
+
+
 QUERIES = {
     "op2_decontamination": op2_decontamination,
     "op3_warc": op3_warc,
     "op5_mixing": op5_mixing,
     "op7_quality_rules": op7_quality_rules,
     "op8_sharding": op8_sharding,
+    "op10_minhash": op10_minhash,
 }

@@ -70,4 +70,16 @@ q as (select source, max(case when (k + mu * st) / (n + st) > 0.6 then 1 else 0
 select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, (f1 = 1 or f2 = 1) as base_failed, not (f1 = 1 or f2 = 1) and not bad as kept from f join q on f.source is not distinct from q.source
 """
 
-ORACLE = {"op2_decontamination": OP2, "op3_warc": OP3, "op5_mixing": OP5, "op7_quality_rules": OP7}
+OP10 = r"""
+with recursive d as (select row_number() over () as rid, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') as w from documents),
+sh as (select distinct rid, doc_id, array_to_string(list_slice(w, i, i + least(4, len(w)) - 1), ' ') as s from (select rid, doc_id, w, unnest(generate_series(1, greatest(1, len(w) - 3))) as i from d where len(w) > 0)),
+n as (select rid, doc_id, count(*) as n from sh group by rid, doc_id),
+common as (select a.rid as ra, b.rid as rb, count(*) as k from sh a join sh b on a.s = b.s and a.rid < b.rid group by a.rid, b.rid),
+link as (select x.doc_id as a, y.doc_id as b from common join n x on x.rid = ra join n y on y.rid = rb where 100 * k >= 80 * (x.n + y.n - k)),
+edge as (select a, b from link union select b, a from link),
+walk as (select doc_id as a, doc_id as b from documents union select walk.a, edge.b from walk join edge on walk.b = edge.a),
+comp as (select a, min(b) as c from walk group by a)
+select d.doc_id, coalesce(n.n, 0)::bigint as n_shingles, comp.c as component_id, d.doc_id = comp.c as kept from d left join n using (rid) join comp on comp.a = d.doc_id
+"""
+
+ORACLE = {"op2_decontamination": OP2, "op3_warc": OP3, "op5_mixing": OP5, "op7_quality_rules": OP7, "op10_minhash": OP10}
