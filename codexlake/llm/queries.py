@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, mixing, neardup, quality_rules, sharding, warc
-from .common import Scratch, table
+from . import decontam, langid, lm, mixing, neardup, quality_rules, sharding, warc
+from .common import Scratch, fold_of, table
 from .queries_sql import ORACLE  # noqa: F401
 
 
@@ -23,11 +23,25 @@ def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.parsed(warc.read_archive(*archive))
 
 
+def op4_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = fold_of(F.col("doc_id"), 5) == 0
+    profiles = langid.learn(docs.filter(~held_out))
+    out = docs.select("doc_id", held_out.alias("held_out"), langid.predict(F.col("text"), profiles).alias("p"))
+    return out.select("doc_id", "held_out", F.col("p.lang").alias("lang_pred"), F.col("p.score").alias("score"))
+
+
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(table(spark, sf_dir, "documents"), Scratch(spark, "op5"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op6_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = fold_of(F.col("doc_id"), 7) == 2
+    return lm.score_texts(docs, ~held_out, Scratch(spark, "op6"), [F.col("doc_id"), held_out.alias("held_out")])
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
     # only ids, hosts and counts are written between the two passes
@@ -51,7 +65,9 @@ def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op2_decontamination": op2_decontamination,
     "op3_warc": op3_warc,
+    "op4_langid": op4_langid,
     "op5_mixing": op5_mixing,
+    "op6_lm": op6_lm,
     "op7_quality_rules": op7_quality_rules,
     "op8_sharding": op8_sharding,
     "op10_minhash": op10_minhash,
