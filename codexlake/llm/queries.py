@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, langid, lm, mixing, neardup, quality_rules, sharding, warc
+from . import decontam, langid, lm, mixing, neardup, quality_rules, repeats, sharding, warc
 from .common import Scratch, fold_of, table
 from .queries_sql import ORACLE  # noqa: F401
 
@@ -57,6 +57,11 @@ def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return s.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = repeats.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"), Scratch(spark, "op9"))
+    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return neardup.near_duplicates(docs, Scratch(spark, "op10"), size=4, percent=80)
@@ -70,5 +75,6 @@ QUERIES = {
     "op6_lm": op6_lm,
     "op7_quality_rules": op7_quality_rules,
     "op8_sharding": op8_sharding,
+    "op9_suffix_dedup": op9_suffix_dedup,
     "op10_minhash": op10_minhash,
 }
