@@ -98,3 +98,11 @@ def text_parts(arr: pa.Array, limit: int = 1 << 21) -> Iterator[tuple[int, int,
         b = max(a + 1, int(np.searchsorted(offs, offs[a] + limit, "right")) - 1)
         yield a, b, data[offs[a] : offs[b]], (offs[a : b + 1] - offs[a])
         a = b
+
+
+def free_name(df: DataFrame, name: str) -> str:
+    """The name, with underscores added until no column has it."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name

@@ -121,13 +121,12 @@ def _scanner(block):
     return scan
 
 
-def find_contamination(docs: DataFrame, items: DataFrame, scratch: Scratch, window: int = 10, text: str = "text", item_id: str = "item_id", item_text: str = "text", block_windows: int = 200_000) -> DataFrame:
-    """docs with a struct column ``contamination``: n_words, spans (start and
+def find_contamination(docs: DataFrame, items: DataFrame, scratch: Scratch, window: int = 10, text: str = "text", item_id: str = "item_id", item_text: str = "text", block_windows: int = 200_000, into: str = "contamination") -> DataFrame:
+    """docs with a struct column ``into``: n_words, spans (start and
     end word of each merged hit, in turn) and items (sorted ids as text)."""
     spark = docs.sparkSession
     rows = items.select(F.col(item_id).cast("string").alias("id"), F.col(item_text).alias("t")).orderBy("id", "t").toLocalIterator()
-    col = "contamination"
-    out = docs.withColumn(col, F.lit(None).cast(HITS))
+    out = docs.withColumn(into, F.lit(None).cast(HITS))
     first = True
 
     def blocks():
@@ -151,7 +150,7 @@ def find_contamination(docs: DataFrame, items: DataFrame, scratch: Scratch, wind
         first = False
         frequency = document_frequency(docs, text, frozenset(w for _, ws in have for w in ws)) if have else {}
         block = spark.sparkContext.broadcast(Block(have, window, lambda w, f=frequency: f.get(w, 0)))
-        out = out.withColumn(col, _scanner(block)(F.col(text), F.col(col)))
+        out = out.withColumn(into, _scanner(block)(F.col(text), F.col(into)))
     return out
 
 

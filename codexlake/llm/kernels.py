@@ -56,10 +56,10 @@ def ranges(sums: np.ndarray, start: np.ndarray, end: np.ndarray, which: int = 0)
     return mix((sums[end] - sums[start]) * powers(len(sums), which)[1][start] + (end - start).astype(np.uint64))
 
 
-def words(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def words(data: np.ndarray, offs: np.ndarray, spaces: np.ndarray = SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Starts and ends of the words, and for each row its first word's number."""
     gap = np.ones(len(data) + 2, bool)
-    gap[1:-1] = SPACE[data]
+    gap[1:-1] = spaces[data]
     inner = offs[1:-1]
     # a row starts at a word border even where no space stands
     before, after = gap[:-1].copy(), gap[1:].copy()

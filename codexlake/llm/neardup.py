@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import kernels as K
-from .common import Scratch, row_type, text_parts
+from .common import Scratch, free_name, row_type, text_parts
 from .components import connected
 
 SAMPLES, BANDS, BITS = 128, 32, 512
@@ -210,9 +210,7 @@ def near_duplicates(docs: DataFrame, scratch: Scratch, size: int = 5, percent: i
 def deduplicated(docs: DataFrame, scratch: Scratch, **options) -> DataFrame:
     """docs with one row of each component: that of its smallest id, the first
     in the table among rows that share it. Rows without words all stay."""
-    key = "__place"
-    while key in docs.columns:
-        key += "_"
+    key = free_name(docs, "__place")
     placed = docs.withColumn(key, F.monotonically_increasing_id())
     found = near_duplicates(placed, scratch, key=F.col(key), **options)
     group = F.when(F.col("n_shingles") == 0, F.concat(F.lit("p"), "key")).otherwise(F.coalesce(F.concat(F.lit("c"), "component_id"), F.concat(F.lit("p"), "key")))

@@ -101,8 +101,8 @@ def judge(measured: DataFrame, host: str, counts: str, rules: dict[str, str] | N
     return out.select(*(c for c in measured.columns if c != counts), quality.alias("quality"))
 
 
-def apply_rules(docs: DataFrame, scratch: Scratch, text: str = "text", host: str = "source", rules: dict[str, str] | None = None, reject_rate: float = 0.6) -> DataFrame:
-    """docs with the struct column ``quality``. The measured rows are written
+def apply_rules(docs: DataFrame, scratch: Scratch, text: str = "text", host: str = "source", rules: dict[str, str] | None = None, reject_rate: float = 0.6, into: str = "quality") -> DataFrame:
+    """docs with the struct column ``into`` (see judge). The measured rows are written
     once, so that no text is measured twice."""
     m = docs.select(F.struct(*docs.columns).alias("row"), F.col(host).alias("host"), metrics(F.col(text)).alias("q"))
-    return judge(scratch.put(m, "measured"), "host", "q", rules, reject_rate).select("row.*", "quality")
+    return judge(scratch.put(m, "measured"), "host", "q", rules, reject_rate).select("row.*", F.col("quality").alias(into))

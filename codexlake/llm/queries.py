@@ -5,11 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, langid, lm, mixing, neardup, quality_rules, repeats, sharding, warc
+from . import cotrain, decontam, langid, lm, mixing, neardup, quality_rules, repeats, sharding, warc
 from .common import Scratch, fold_of, table
 from .queries_sql import ORACLE  # noqa: F401
 
 
+def op1_cotraining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = cotrain.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), Scratch(spark, "op1"))
+    toxic = F.col("toxic_all") >= 0.5
+    return p.select("doc_id", F.col("quality_text").alias("text_score"), F.col("quality_meta").alias("meta_score"), F.col("quality_all").alias("score"), F.col("toxic_all").alias("toxic_score"), toxic.alias("toxic"), ((F.col("quality_all") >= 0.5) & ~toxic).alias("kept"))
+
+
 def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     c = decontam.find_contamination(docs, table(spark, sf_dir, "benchmark"), Scratch(spark, "op2"))
@@ -68,6 +74,7 @@ def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_cotraining": op1_cotraining,
     "op2_decontamination": op2_decontamination,
     "op3_warc": op3_warc,
     "op4_langid": op4_langid,

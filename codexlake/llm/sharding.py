@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import Scratch, id_text
+from .common import Scratch, free_name, id_text
 
 BINS = 1024
 UNIT = 1 << 40  # dimensions and the tie hash are whole numbers below this
@@ -131,3 +131,12 @@ def kd_shards(docs: DataFrame, scratch: Scratch, shards: int = 24, tolerance: fl
     own = F.row_number().over(Window.partitionBy("shard", "block").orderBy("tie", "doc_id", "size")) - 1
     out = placed.withColumn("own", own).join(counts, ["shard", "block"])
     return out.select(*(["key"] if key is not None else []), "doc_id", "size", "text_crc32", "shard", (F.col("before") + F.col("own")).cast("long").alias("slot"))
+
+
+def sharded_documents(docs: DataFrame, scratch: Scratch, **options) -> DataFrame:
+    """docs with the columns shard and slot. Rows are told apart by their place
+    in the scan, so docs must be a table that was read."""
+    key, shard, slot = (free_name(docs, n) for n in ("__place", "shard", "slot"))
+    placed = docs.withColumn(key, F.monotonically_increasing_id())
+    got = kd_shards(placed, scratch, key=F.col(key), **options)
+    return placed.join(got.select(F.col("key").alias(key), F.col("shard").alias(shard), F.col("slot").alias(slot)), key).drop(key)
