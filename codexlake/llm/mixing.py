@@ -27,7 +27,7 @@ from pyspark.sql.window import Window
 from .common import WORD, Scratch, free_name, id_text
 
 BINS = 4096
-PASSES = 3
+PASSES = 5
 
 
 def unit_hash(c: Column, seed: str) -> Column:
@@ -48,13 +48,13 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...] = (1, 2, 3), cap:
     order = Window.orderBy(F.col("source").isNull(), F.col("source"))
     w = F.element_at(F.array(*(F.lit(x) for x in weights)), ((F.row_number().over(order) - 1) % len(weights) + 1).cast("int"))
     s = s.withColumn("w", w).withColumn("cap", F.lit(cap) * F.col("source_size"))
-    # capped sources come first in the order of cap / w; the level is that of the first source which is not capped
+    # capped sources come first in the order of cap / w; the level is that of the first source which is not capped, the largest that fits
     by_ratio = Window.orderBy(F.col("cap") / F.col("w"), F.col("source").isNull(), F.col("source"))
     before = by_ratio.rowsBetween(Window.unboundedPreceding, -1)
     rest = by_ratio.rowsBetween(0, Window.unboundedFollowing)
     every = Window.partitionBy(F.lit(1))
     s = s.withColumn("level", (F.sum("source_size").over(every) - F.coalesce(F.sum("cap").over(before), F.lit(0))) / F.sum("w").over(rest))
-    level = F.min(F.when(F.col("level") <= F.col("cap") / F.col("w"), F.col("level"))).over(every)
+    level = F.max(F.when(F.col("level") <= F.col("cap") / F.col("w"), F.col("level"))).over(every)
     return s.withColumn("level", level).select("source", "source_size", F.least(F.col("cap").cast("double"), F.col("level") * F.col("w")).alias("target"))
 
 

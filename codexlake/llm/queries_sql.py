@@ -30,7 +30,7 @@ sized as (select doc_id, source, cast(len(regexp_extract_all(coalesce(text, ''),
 s0 as (select source, sum(size)::bigint as source_size from sized group by source),
 s1 as (select *, (row_number() over (order by source is null, encode(source)) - 1) % 3 + 1 as w, 3 * source_size as cap from s0),
 s2 as (select *, (sum(source_size) over () - coalesce(sum(cap) over (order by cap / w, source is null, encode(source) rows between unbounded preceding and 1 preceding), 0))::double / sum(w) over (order by cap / w, source is null, encode(source) rows between current row and unbounded following) as lev from s1),
-s3 as (select *, min(case when lev <= cap / w then lev end) over () as level from s2),
+s3 as (select *, max(case when lev <= cap / w then lev end) over () as level from s2),
 t as (select source, source_size, least(cap::double, level * w) as target from s3)
 """
 
@@ -50,8 +50,8 @@ OP5 = (
     + r""",
 e as (select doc_id, sized.source, size, source_size, target, case when source_size > 0 then least(target / source_size, 3.0::double) else 0.0::double end as mean, (('0x' || substr(md5('mix' || coalesce(cast(doc_id as varchar), '')), 1, 13))::bigint + 0.5::double) / 4503599627370496.0::double as u from sized join t on sized.source is not distinct from t.source),
 r0 as (select doc_id, source, size, source_size, target, floor(mean) as whole, case when mean > floor(mean) then u / (1 - u) * ((1 - (mean - floor(mean))) / (mean - floor(mean))) end as rank, false as picked, mean > floor(mean) as open, target - sum(floor(mean) * size) over (partition by source) as room from e),"""
-    + ",".join(_pass(n) for n in range(3))
-    + " select doc_id, size, source_size, target, ((whole + case when picked then 1 else 0 end) * size)::bigint as taken from r3"
+    + ",".join(_pass(n) for n in range(5))
+    + " select doc_id, size, source_size, target, ((whole + case when picked then 1 else 0 end) * size)::bigint as taken from r5"
 )
 
 OP7 = r"""
