@@ -7,13 +7,13 @@ Patterns are written for Python; ``java`` turns one into Spark's dialect
 # --- fixed values: headwords, in order of priority -------------------------
 _CAPS = r"[A-Z][A-Z'\-]+(?:\s+[A-Z][A-Z'\-]+)*"
 HEADWORDS = (
-    ("bold_comma", rf"^\*\*({_CAPS})\*\*,\s*", 0.95),
-    ("bold_period", rf"^\*\*({_CAPS})\*\*\.\s*$", 0.9),
-    ("bold_subentry", r"^\*\*([A-Z][a-z][A-Za-z'\-\s]+)\*\*[,.]", 0.8),
-    ("caps_comma", rf"^({_CAPS}),\s+", 0.85),
-    ("caps_period", rf"^({_CAPS})\.\s*$", 0.75),
-    ("standalone", rf"^({_CAPS})\s*$\n\n(?=[A-Z])", 0.6),
-    ("parenthetical", rf"^\*?\*?({_CAPS})\s*[,]?\s*\([^)]+\)\*?\*?[,.]", 0.85),
+    ("bold_comma", rf"^\*\*({_CAPS})\*\*,\s*", 1.0),
+    ("bold_period", rf"^\*\*({_CAPS})\*\*\.\s*$", 0.95),
+    ("bold_subentry", r"^\*\*([A-Z][a-z][A-Za-z'\-\s]+)\*\*[,.]", 0.85),
+    ("caps_comma", rf"^({_CAPS}),\s+", 0.9),
+    ("caps_period", rf"^({_CAPS})\.\s*$", 0.85),
+    ("standalone", rf"^({_CAPS})\s*$\n\n(?=[A-Z])", 0.7),
+    ("parenthetical", rf"^\*?\*?({_CAPS})\s*[,]?\s*\([^)]+\)\*?\*?[,.]", 0.8),
 )
 ALPHABET_ENTRY = r"^([A-Z])\s*$\n\n"
 ENTRY_COMMA = rf"(?:^|\n+)(?:\*\*)?({_CAPS})(?:\*\*)?(?:\s*\([^)]+\))?,\s+"
@@ -67,7 +67,7 @@ EDITIONS = (
 )
 EDITION_PHRASES = ("FIRST EDITION", "SECOND EDITION", "THIRD EDITION", "FOURTH EDITION", "FIFTH EDITION", "SIXTH EDITION", "SEVENTH EDITION", "EIGHTH EDITION")
 #: editions that imply another if all have an article
-INFERENCE_RULES = (((1815, 1823), 1810), ((1842, 1860), 1823), ((1771, 1797), 1778))
+INFERENCE_RULES = (((1815, 1823), 1810), ((1810, 1815), 1797), ((1797, 1810), 1778), ((1823, 1860), 1842))
 
 # --- fixed values: artefacts of recognition --------------------------------
 NON_ARTICLES = (
@@ -99,7 +99,26 @@ SECTIONS = (
     (r"\n(BOOK\s+[IVX\d]+\.?[^\n]*)", 1),
 )
 INDEX_REFERENCE = r"([IVXLCDM]+)\.\s*(\d+(?:\s*,\s*\d+)*)"
-INDEX_SEE = r"[Ss]ee\s+([A-Z][A-Za-z'\- ]+)"
+INDEX_SEE = r"(?i)See\s+([A-Za-z][A-Za-z'\-\s]+)"
+INDEX_MAIN = r"^([A-Z][A-Z'\-\s]+(?:\([^)]+\))?),\s*(.+)$"
+INDEX_CROSS = r"(?i)^([A-Z][A-Z'\-\s]+)\.\s*See\s+(.+)"
+INDEX_SKIP = r"^$|^\d+[-–—]+$|^[A-Z]{2,3}[-–—][A-Z]{2,3}$|^!\[|^#"
+PACKAGE_SECTIONS = (
+    (r"(?:^|\n)(PART\s+[IVXLCDM]+\.?\s*[^\n]*)", 1),
+    (r"(?:^|\n)(§\s*\d+\.?\s*[^\n.]{3,80}?)(?:\n|\.(?:\s|$))", 2),
+    (r"(?:^|\n)(SECT\.?\s*[IVXLCDM\d]+\.?\s*[^\n]*)", 2),
+    (r"(?:^|\n)(CHAP\.?\s*[IVXLCDM\d]+\.?\s*[^\n]*)", 2),
+    (r"(?:^|\n)(Chapter\s+[IVXLCDM\d]+\.?\s*[^\n]*)", 2),
+    (r"(?:^|\n)(Division\s+[IVXLCDM\d]+\.?\s*[^\n]*)", 2),
+    (r"(?:^|\n)(Article\s+[IVXLCDM\d]+\.?\s*[^\n]*)", 2),
+)
+CHUNK_TITLES = (r"^(PART\s+[IVXLCDM]+\.?)", r"^(SECT(?:ION)?\.?\s+[IVXLCDM\d]+\.?)", r"^(CHAPTER\s+[IVXLCDM\d]+\.?)", r"^(Section\s+\d+\.?\s*[^\n]{0,50})", r"^([A-Z][a-z]+\s+[IVXLCDM]+\.)")
+FILE_VOLUMES = (r"Volume\s*(\d+)", r"Vol\.?\s*(\d+)", r"v(\d+)", r"_(\d+)(?:_|\.)")
+ROMAN_HEADWORDS = (
+    "I", "II", "III", "IV", "V", "VI", "VII", "VIII", "IX", "X", "XI", "XII", "XIII", "XIV", "XV", "XVI", "XVII", "XVIII", "XIX", "XX",
+    "XXI", "XXX", "XL", "L", "LX", "LXX", "LXXX", "XC", "C", "CC", "CCC", "CD", "D", "DC", "DCC", "DCCC", "CM", "M", "MM", "MMM",
+)
+RUNNING_HEADS = ("PLATE", "VOLUME", "VOL", "CHAPTER", "PART", "PAGE")
 
 
 def java(pattern: str, ignore_case: bool = False) -> str:

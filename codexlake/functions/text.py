@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from .patterns import (
-    BORN, CROSS_REFERENCES, DATES, DIED, EDITION_PHRASES, EDITIONS, INDEX_REFERENCE, INDEX_SEE, LAT_LONG, LONG_LAT, STRUCTURAL, FRONT_MATTER_TEXT, java,
+    BORN, CHUNK_TITLES, CROSS_REFERENCES, DATES, DIED, EDITION_PHRASES, EDITIONS, INDEX_CROSS, INDEX_MAIN, INDEX_REFERENCE, INDEX_SEE, INDEX_SKIP, LAT_LONG, LONG_LAT, STRUCTURAL, FRONT_MATTER_TEXT, java,
 )
 
 
@@ -92,10 +92,20 @@ def index_entry(line: Column | str) -> Column:
     """(term, entry_type, references, see_also) of an index line; null for a
     line that is none. Main terms are in capitals, sub-terms are not."""
     t = F.trim(_c(line))
-    term = F.trim(F.regexp_extract(t, r"^([^,.;]+(?:\.(?!\s*[Ss]ee)[^,.;]*)?)[,.]?\s*", 1))
-    refs, see = index_references(t), see_also(t)
-    kind = F.when((F.size(see) > 0) & (F.size(refs) == 0), "cross_ref").when(F.size(refs) == 0, None).when(term == F.upper(term), "main").otherwise("sub")
-    return F.when(kind.isNotNull(), F.struct(F.upper(F.regexp_replace(term, r"\.$", "")).alias("term"), kind.alias("entry_type"), refs.alias("references"), see.alias("see_also")))
+    head = F.trim(F.split(F.split(t, ",")[0], r"\.")[0])
+    capitals = (head == F.upper(head)) & head.rlike("[A-Z]")
+    main, cross = F.regexp_extract(t, INDEX_MAIN, 1), F.regexp_extract(t, INDEX_CROSS, 1)
+    rest = F.when(main != "", F.regexp_extract(t, INDEX_MAIN, 2)).otherwise(t)
+    none = F.slice(index_references(t), 1, 0)
+    refs, see = index_references(rest), see_also(rest)
+    entry = lambda term, kind, r: F.struct(F.trim(term).alias("term"), F.lit(kind).alias("entry_type"), r.alias("references"), see.alias("see_also"))
+    return (
+        F.when(t.rlike(INDEX_SKIP) | (head == ""), None)
+        .when(capitals & (F.length(head) > 1) & (main != ""), entry(main, "main", refs))
+        .when(capitals & (F.length(head) > 1) & (cross != ""), entry(cross, "cross_ref", none))
+        .when(capitals, None)
+        .when((F.size(refs) > 0) | (F.size(see) > 0), entry(F.regexp_extract(t, r"^([^,.]+)", 1), "sub", refs))
+    )
 
 
 def escape_html(text: Column | str) -> Column:
@@ -157,10 +167,9 @@ def page_range(start: Column, end: Column) -> Column:
 
 
 def section_title(text: Column | str) -> Column:
-    """A heading within the first 200 characters, at most 100 long."""
-    t = F.left(_c(text), F.lit(200))
-    found = F.coalesce(*(group(t, p, 1, True) for p in (r"^(PART\s+[IVXLCDM\d]+[^\n]*)", r"^(CHAP(?:TER)?\.?\s+[IVXLCDM\d]+[^\n]*)", r"^(SECT(?:ION)?\.?\s+[IVXLCDM\d]+[^\n]*)", r"^(BOOK\s+[IVXLCDM\d]+[^\n]*)", r"^(§\s*\d+[^\n]*)")))
-    return F.left(F.trim(found), F.lit(100))
+    """A heading at the start of the first 200 characters, or null."""
+    t = F.trim(F.left(_c(text), F.lit(200)))
+    return F.trim(F.coalesce(*(group(t, p, 1, True) for p in CHUNK_TITLES)))
 
 
 def modern_spelling(text: Column | str) -> Column:

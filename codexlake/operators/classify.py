@@ -80,18 +80,19 @@ def is_artifact(headword: Column, text: Column) -> Column:
     ])
 
 
-ROMANS = ("I", "II", "III", "IV", "V", "VI", "VII", "VIII", "IX", "X", "XI", "XII", "XIII", "XIV", "XV", "XVI", "XVII", "XVIII", "XIX", "XX")
-
-
-def validation_errors(headword: Column, text: Column, lo: Column | None = None, hi: Column | None = None, least_text: int = 10, most_headword: int = 50) -> Column:
+def validation_errors(headword: Column, text: Column, lo: Column | None = None, hi: Column | None = None, least_text: int = 20, most_headword: int = 50) -> Column:
     """Reasons, joined by '; ', why a headword is no article; empty if none."""
+    rest = F.regexp_replace(F.trim(F.substring(text, F.position(headword, text) + F.length(headword), F.length(text))), r"\A[,.:;]+", "")
+    rest = F.when(F.position(headword, text) > 0, rest).otherwise(F.trim(text))
     tests = [
         (F.length(headword) < 2, "headword too short"),
         (F.length(headword) > most_headword, "headword too long"),
         (is_structural(headword), "structural header"),
+        (_any([headword.startswith(w) for w in P.RUNNING_HEADS]), "running head"),
         (headword.rlike(r"\A\d+\z"), "numeric headword"),
-        (headword.isin(*ROMANS), "roman numeral"),
+        (headword.isin(*P.ROMAN_HEADWORDS), "roman numeral"),
         (F.length(F.trim(text)) < least_text, "text too short"),
+        (F.length(rest) < 10, "no content after headword"),
     ]
     if lo is not None and hi is not None:
         # compare as many letters as the volume's range has
@@ -103,15 +104,16 @@ def validation_errors(headword: Column, text: Column, lo: Column | None = None,
 def boundary(before: Column, after: Column) -> Column:
     """Whether a headword's occurrence starts an article: (label, confidence).
 
-    before: up to 50 characters before it; after: what follows it."""
-    see = before.rlike(r"(?iu)\bsee\s*(?:the\s+article\s*)?\*{0,2}\z")
-    line_start = before.rlike(r"(?:\A|\n)\s*\*{0,2}\z")
+    before: what precedes it (20 characters count for "see"); after: the 50
+    characters that follow."""
+    near = F.lower(F.right(before, F.lit(20)))
+    see = near.contains("see ") | F.trim(near).endswith("see")
+    line_start = before.rlike(r"(?:\A|\n)\s*\z")
     label = (
         F.when(see, F.struct(F.lit("MENTION"), F.lit(0.85)))
-        .when(line_start & after.rlike(r"\A\*{0,2}(?:\s*\([^)]*\))?,\s+[a-z]"), F.struct(F.lit("START"), F.lit(0.9)))
-        .when(line_start & after.rlike(r"\A\*{0,2}\.\s*See\b"), F.struct(F.lit("START"), F.lit(0.85)))
-        .when(line_start & after.rlike(r"\A\*{0,2}\s*\("), F.struct(F.lit("START"), F.lit(0.9)))
-        .when(line_start & after.rlike(r"\A\*{0,2},"), F.struct(F.lit("START"), F.lit(0.75)))
+        .when(line_start & after.rlike(r"\A(?:\s*\([^)]+\))?,\s+[a-z]"), F.struct(F.lit("ARTICLE_START"), F.lit(0.9)))
+        .when(line_start & after.rlike(r"(?i)\A\.\s+See\s+"), F.struct(F.lit("ARTICLE_START"), F.lit(0.85)))
+        .when(line_start & after.rlike(r"\A\s*,"), F.struct(F.lit("ARTICLE_START"), F.lit(0.75)))
         .when(line_start, F.struct(F.lit("UNCERTAIN"), F.lit(0.5)))
         .otherwise(F.struct(F.lit("MENTION"), F.lit(0.7)))
     )

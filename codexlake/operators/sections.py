@@ -10,9 +10,10 @@ from pyspark.sql.window import Window
 import pyarrow as pa
 import re
 
-from ..functions.patterns import SECTIONS
+from ..functions.patterns import PACKAGE_SECTIONS, SECTIONS
 
-_FIND = [(re.compile(p, re.I), level) for p, level in SECTIONS]
+_CORPUS = [(re.compile(p, re.I), level) for p, level in SECTIONS]
+_PACKAGE = [(re.compile(p), level) for p, level in PACKAGE_SECTIONS]
 _MARK = T.ArrayType(T.StructType([T.StructField("pos", T.IntegerType()), T.StructField("body", T.IntegerType()), T.StructField("title", T.StringType()), T.StructField("level", T.IntegerType())]))
 _ARROW = pa.list_(pa.struct([("pos", pa.int32()), ("body", pa.int32()), ("title", pa.string()), ("level", pa.int32())]))
 
@@ -21,12 +22,12 @@ def section_marks(text: str, prose_follows: bool) -> list[dict]:
     """Headings by position; with prose_follows, those that run on in lower
     case are no headings, and titles are one line of 100 characters."""
     out = []
-    for p, level in _FIND:
+    for p, level in _PACKAGE if prose_follows else _CORPUS:
         for m in p.finditer(text):
             if prose_follows and text[m.end() : m.end() + 1].islower():
                 continue
             title = " ".join(m[1].split())[:100] if prose_follows else m[1].strip()
-            out.append({"pos": m.start(), "body": m.end(), "title": title, "level": level})
+            out.append({"pos": m.start(), "body": m.start() if prose_follows else m.end(), "title": title, "level": level})
     out.sort(key=lambda s: (s["pos"], s["level"]))
     return [s for i, s in enumerate(out) if not i or s["pos"] != out[i - 1]["pos"]]
 
@@ -52,11 +53,14 @@ def explicit_sections(articles: DataFrame, key: str = "article_id", profile: str
     """(key, index, title, level, method, char_start, char_end, text).
 
     corpus: any introduction over 100 characters, no least length. package:
-    introductions of 1,000 or more; sections under ``least`` are dropped."""
+    introductions of 1,000 or more; sections under ``least`` are dropped, headings belong to the
+    text."""
     package = profile == "package"
     a = articles.select(F.col(key), F.col("text").alias("whole"), _marks(package)("text").alias("marks"))
     s = a.select(key, "whole", F.explode(_spans(F.col("marks"), F.col("whole"), 1000 if package else 101)).alias("s"))
-    body = F.regexp_replace(F.expr("substring(whole, s.body + 1, s.char_end - s.body)"), r"(?U)\A\s+|\s+\z", "")
+    body = F.expr("substring(whole, s.body + 1, s.char_end - s.body)")
+    if not package:
+        body = F.regexp_replace(body, r"(?U)\A\s+|\s+\z", "")
     s = s.select(key, "s.title", "s.level", "s.method", "s.char_start", "s.char_end", body.alias("text"))
     if package:
         s = s.filter((F.length("text") >= least) | (F.col("method") == "fallback"))
@@ -64,15 +68,18 @@ def explicit_sections(articles: DataFrame, key: str = "article_id", profile: str
     return s.withColumn("index", index)
 
 
-def length_sections(articles: DataFrame, key: str = "article_id", unit: int = 10000) -> DataFrame:
-    """Cuts a text into clamp(length div unit, 2, 10) parts at paragraph ends:
-    a paragraph goes to the part in which it starts."""
-    n = F.greatest(F.lit(2), F.least(F.lit(10), F.floor(F.length("text") / unit)))
-    p = articles.select(F.col(key), n.alias("n"), F.length("text").alias("size"), F.posexplode(F.split("text", "\n")).alias("i", "para"))
-    start = F.coalesce(F.sum(F.length("para") + 1).over(Window.partitionBy(key).orderBy("i").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    p = p.withColumn("start", start).withColumn("part", F.least(F.col("n") - 1, F.floor(F.col("start") * F.col("n") / F.greatest(F.col("size"), F.lit(1)))))
-    g = p.groupBy(key, "part").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("i", "para"))), lambda x: x["para"]), "\n").alias("text"), F.min("start").alias("char_start"))
-    return g.select(key, (F.row_number().over(Window.partitionBy(key).orderBy("part")) - 1).alias("index"), F.col("char_start").cast("int").alias("char_start"), "text")
+def length_sections(articles: DataFrame, key: str = "article_id", unit: int = 10000, sep: str = r"\n\s*\n", joint: str = "\n\n") -> DataFrame:
+    """clamp(length div unit, 2, 10) parts of equally many paragraphs, the last
+    with the rest; even slices if there are fewer paragraphs than parts."""
+    n = F.greatest(F.lit(2), F.least(F.lit(10), F.floor(F.length("text") / unit))).cast("int")
+    a = articles.select(F.col(key), "text", n.alias("n"), F.split("text", sep).alias("p"))
+    i, size = F.col("i"), F.floor(F.length("text") / F.col("n")).cast("int")
+    a = a.select("*", F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("i"))
+    last = i == F.col("n") - 1
+    even = F.substring(F.col("text"), i * size + 1, F.when(last, F.length("text")).otherwise(size))
+    per = F.floor(F.size("p") / F.col("n")).cast("int")
+    some = F.array_join(F.slice("p", i * per + 1, F.when(last, F.size("p")).otherwise(per)), joint)
+    return a.select(key, i.alias("index"), F.concat(F.lit("Part "), (i + 1).cast("string")).alias("title"), F.when(F.size("p") < F.col("n"), even).otherwise(some).alias("text"))
 
 
 def choose_sections(articles: DataFrame, key: str = "article_id", short: int = 5000) -> DataFrame:

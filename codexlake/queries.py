@@ -165,18 +165,17 @@ def artifact_filter(spark, sf_dir):
     return a.filter(classify.is_artifact(F.col("headword"), F.col("text"))).select("doc_id", "headword")
 
 
-@query(f"{WITH_A} select doc_id, concat_ws('; ', case when length(headword) < 2 then 'headword too short' end, case when headword in ('I','II','III','IV','V','VI','VII','VIII','IX','X','XI','XII','XIII','XIV','XV','XVI','XVII','XVIII','XIX','XX') then 'roman numeral' end, case when length(trim(text)) < 10 then 'text too short' end, case when not (left(headword, 1) >= 'A' and left(headword, 1) <= 'M') then 'outside volume range' end) as errors from a")
+@query(f"{WITH_A} select doc_id, concat_ws('; ', case when length(headword) < 2 then 'headword too short' end, case when regexp_matches(headword, '^(PLATE|VOL|CHAPTER|PART|PAGE)') then 'running head' end, case when headword in ('I','II','III','IV','V','VI','VII','VIII','IX','X','XI','XII','XIII','XIV','XV','XVI','XVII','XVIII','XIX','XX','XXI','XXX','XL','L','LX','LXX','LXXX','XC','C','CC','CCC','CD','D','DC','DCC','DCCC','CM','M','MM','MMM') then 'roman numeral' end, case when length(trim(text)) < 20 then 'text too short' end, case when length(case when position(headword in text) > 0 then regexp_replace(trim(substr(text, position(headword in text) + length(headword))), '^[,.:;]+', '') else trim(text) end) < 10 then 'no content after headword' end, case when not (left(headword, 1) >= 'A' and left(headword, 1) <= 'M') then 'outside volume range' end) as errors from a")
 def validate_articles(spark, sf_dir):
     a = doc_articles(spark, sf_dir)
     return a.select("doc_id", classify.validation_errors(F.col("headword"), F.col("text"), F.lit("A"), F.lit("M")).alias("errors"))
 
 
-@query(f"{WITH_E} select k, case k % 6 when 4 then 'START' when 5 then 'UNCERTAIN' when 3 then 'START' else 'START' end as label, cast(case k % 6 when 3 then 0.75 when 5 then 0.5 else 0.9 end as double) as confidence from e")
+@query(f"{WITH_E} select k, case k % 6 when 4 then 'UNCERTAIN' when 5 then 'UNCERTAIN' else 'ARTICLE_START' end as label, cast(case k % 6 when 3 then 0.75 when 5 then 0.5 when 4 then 0.5 else 0.9 end as double) as confidence from e")
 def boundary_heuristic(spark, sf_dir):
-    e = entries(spark, sf_dir)
-    bold = F.col("text").startswith("**")
     after = F.expr("substring(text, length(headword) + case when startswith(text, '**') then 3 else 1 end)")
-    return e.select("k", classify.boundary(F.when(bold, "x\n**").otherwise("x\n"), after).alias("b")).select("k", "b.label", "b.confidence")
+    b = classify.boundary(F.lit("the end.\n"), after)
+    return entries(spark, sf_dir).select("k", b.alias("b")).select("k", "b.label", "b.confidence")
 
 
 # --- segmentation ---------------------------------------------------------------------
@@ -201,10 +200,7 @@ def corpus_types(spark, sf_dir):
     return segment.typed(segment.segment(volumes(spark, sf_dir), "corpus")).groupBy("edition_year", "article_type").agg(F.count(F.lit(1)).alias("n"))
 
 
-_W = {"bold_comma": 0.95, "bold_period": 0.9, "caps_comma": 0.85}
-
-
-@query(f"{WITH_E} select volume_id, headword, k % 6 as form, count(*) as n, sum(round(case k % 6 when 4 then 0.95 when 5 then 0.9 else 0.85 end * case when length(text) < 50 then 0.8 else 1 end, 3))::double as confidence from e group by all")
+@query(f"{WITH_E} select volume_id, headword, k % 6 as form, count(*) as n, sum(round(case k % 6 when 4 then 1.0 when 5 then 0.95 else 0.9 end * case when length(text) < 50 then 0.8 else 1 end, 3))::double as confidence from e group by all")
 def segment_confidence(spark, sf_dir):
     a = segment.confidence(segment.segment(volumes(spark, sf_dir), "package"))
     form = F.when(F.col("kind") == "bold_comma", 4).when(F.col("kind") == "bold_period", 5).when(F.col("text").contains(", See "), 3).when(F.col("text").contains("celebrated"), 2).when(F.col("text").contains("situated"), 1).otherwise(0)
@@ -230,10 +226,10 @@ def explicit_sections(spark, sf_dir):
     return s.select("k", "index", "title", "method")
 
 
-@query(f"{WITH_A}, p as (select doc_id, least(10, greatest(2, length(text) // 10000)) as n, length(text) as size, unnest(string_split(text, chr(10))) as para, generate_subscripts(string_split(text, chr(10)), 1) as i from a where length(text) > 5000), q as (select *, coalesce(sum(length(para) + 1) over (partition by doc_id order by i rows between unbounded preceding and 1 preceding), 0) as start from p), g as (select doc_id, least(n - 1, (start * n) // size) as part, string_agg(para, chr(10) order by i) as t, min(start) as char_start from q group by 1, 2) select doc_id, cast(row_number() over (partition by doc_id order by part) - 1 as int) as index, cast(char_start as int) as char_start, length(t) as n_chars from g")
+@query(f"{WITH_A}, p as (select doc_id, text, cast(least(10, greatest(2, length(text) // 10000)) as int) as n, string_split(text, chr(10)) as p from a where length(text) > 5000), q as (select *, unnest(range(0, n)) as i from p) select doc_id, cast(i as int) as index, length(case when len(p) < n then case when i = n - 1 then substr(text, i * (length(text) // n) + 1) else substr(text, i * (length(text) // n) + 1, length(text) // n) end when i = n - 1 then array_to_string(p[i * (len(p) // n) + 1:], chr(10)) else array_to_string(p[i * (len(p) // n) + 1:(i + 1) * (len(p) // n)], chr(10)) end) as n_chars from q")
 def length_sections(spark, sf_dir):
-    s = sections.length_sections(doc_articles(spark, sf_dir).filter(F.length("text") > 5000), "doc_id")
-    return s.select("doc_id", "index", "char_start", F.length("text").alias("n_chars"))
+    s = sections.length_sections(doc_articles(spark, sf_dir).filter(F.length("text") > 5000), "doc_id", sep="\n", joint="\n")
+    return s.select("doc_id", "index", F.length("text").alias("n_chars"))
 
 
 @query(f"{WITH_A}, p as (select doc_id, case when length(text) < 500 then [text] else list_filter(list_transform(string_split(text, chr(10)), lambda x: trim(x, ' ')), lambda x: x <> '') end as l, headword, edition_year from a) select doc_id, cast(generate_subscripts(l, 1) - 1 as int) as index, '[' || headword || ', ' || edition_year || '] ' || unnest(l) as text from p")
@@ -300,7 +296,7 @@ def _found(spark, sf_dir):
     return registry.found(entries(spark, sf_dir).filter("k % 3 > 0"))
 
 
-@query(f"{WITH_E}, {_FOUND}, y as (select headword, list(year) as ys from f group by 1) select headword, 1810 as year, 0.7::double as confidence from y where list_contains(ys, 1815) and list_contains(ys, 1823) and not list_contains(ys, 1810) union all select headword, 1823, 0.7::double from y where list_contains(ys, 1842) and list_contains(ys, 1860) and not list_contains(ys, 1823) union all select headword, 1778, 0.7::double from y where list_contains(ys, 1771) and list_contains(ys, 1797) and not list_contains(ys, 1778)")
+@query(f"{WITH_E}, {_FOUND}, y as (select headword, list(year) as ys from f group by 1) select headword, 1810 as year, 0.7::double as confidence from y where list_contains(ys, 1815) and list_contains(ys, 1823) and not list_contains(ys, 1810) union all select headword, 1797 as year, 0.7::double as confidence from y where list_contains(ys, 1810) and list_contains(ys, 1815) and not list_contains(ys, 1797) union all select headword, 1778 as year, 0.7::double as confidence from y where list_contains(ys, 1797) and list_contains(ys, 1810) and not list_contains(ys, 1778) union all select headword, 1842 as year, 0.7::double as confidence from y where list_contains(ys, 1823) and list_contains(ys, 1860) and not list_contains(ys, 1842)")
 def infer_cross_edition(spark, sf_dir):
     few = entries(spark, sf_dir).filter("k % 3 > 0")
     return registry.infer(registry.found(few)).select("headword", "year", "confidence")

@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from .. import schemas
-from ..functions.text import edition_of_title, group, letter_range, roman_to_int, volume_of_title
+from ..functions.patterns import FILE_VOLUMES
+from ..functions.text import edition_of_title, group, letter_range, volume_of_title
 
 
 def file_name() -> Column:
@@ -19,8 +20,8 @@ def file_name() -> Column:
 
 
 def volume_of_file(name: Column) -> Column:
-    """Volume number of a file name: vol3, volume-3, v03, or _3 at its end."""
-    return F.coalesce(*(group(name, p, 1, True).cast("int") for p in (r"vol(?:ume)?[\s_\-\.]*(\d+)", r"(?:^|[_\-\s])v(\d+)", r"(?:^|[_\-\s])(\d+)(?=\.\w+$)")), roman_to_int(group(name, r"vol(?:ume)?[\s_\-\.]+([IVXLC]+)\b", 1, True)))
+    """Volume number in a file's name, by the first pattern that fits."""
+    return F.coalesce(*(group(name, p, 1, True).cast("int") for p in FILE_VOLUMES))
 
 
 def read_markdown(spark: SparkSession, path: str, pattern: str = "*.md") -> DataFrame:
