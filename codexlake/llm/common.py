@@ -50,7 +50,14 @@ class Scratch:
     def put(self, df: DataFrame, name: str = "t") -> DataFrame:
         self.seq += 1
         where = f"{self.base}/{self.seq:03d}-{name}"
-        df.write.parquet(where)
+        # shuffle files of the write aren't needed once the table stands
+        key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+        had = self.spark.conf.get(key, "false")
+        self.spark.conf.set(key, "true")
+        try:
+            df.write.parquet(where)
+        finally:
+            self.spark.conf.set(key, had)
         out = self.spark.read.schema(df.schema).parquet(where)
         out._scratch = where
         return out

@@ -6,10 +6,12 @@
 2. Texts with equal sets form a class. Classes that share a band key are
    candidates: a pair of similarity 0.8 is missed by all bands with a
    probability of about 5e-8.
-3. Each class is first held against the leaders (smallest id) of its buckets,
-   the one with the nearest sketch; confirmed links give components.
+3. Each class is first held against the leaders of its buckets (the member
+   that shares most buckets with most others, as the least edited copy does);
+   confirmed links give components.
 4. Buckets that still hold several components are searched for pairs between
-   components, never within one. A bucket of more than ``bucket_rows`` classes
+   components, never within one, after classes are left out which have too few
+   shingles in common with all others together. A bucket of more than ``bucket_rows`` classes
    is split by a second (third ...) band key, as its similar pairs share more
    of these. Sketches prune, full sets confirm; no partner is capped.
 
@@ -115,12 +117,16 @@ def differing_bits(a: str, b: str) -> Column:
     return out
 
 
-def bit_limit(similarity: float) -> int:
-    """Sketches of pairs at the similarity differ in fewer bits than this, with
-    a margin of about five standard deviations of samples and folding."""
-    loose = 2 * SAMPLES * (1 - similarity) + 5 * 2 * math.sqrt(SAMPLES * similarity * (1 - similarity))
-    bits = BITS / 2 * (1 - math.exp(-2 * loose / BITS))
-    return math.ceil(bits + 5 * math.sqrt(BITS) / 4)
+def bit_limit(similarity: float, errors: float = 5.0) -> int:
+    """Sketches of pairs at the similarity differ in fewer bits than this:
+    ``errors`` standard deviations above the mean. The variance is that of the
+    samples that differ, each of which puts in two signs, and of folding."""
+    differ = 2 * SAMPLES * (1 - similarity)
+    keep = math.exp(-2 * differ / BITS)
+    mean = BITS / 2 * (1 - keep)
+    sampling = (keep * 2) ** 2 * SAMPLES * similarity * (1 - similarity)
+    folding = BITS / 4 * (1 - keep * keep) - keep * keep * differ
+    return math.ceil(mean + errors * math.sqrt(sampling + max(0.0, folding)))
 
 
 class Linker:
@@ -137,8 +143,13 @@ class Linker:
         classes = sig.filter("n > 0 and doc_id is not null").groupBy("set1", "set2", "n").agg(F.min("doc_id").alias("node"), F.any_value("bands").alias("bands"), F.any_value("sketch").alias("sketch"))
         classes = put(classes, "classes")
         rows = classes.select("node", F.explode("bands").alias("key"))
-        buckets = rows.groupBy("key").agg(F.min("node").alias("leader"), F.count(F.lit(1)).alias("rows")).filter("rows > 1")
-        rows = put(rows.join(buckets, "key"), "buckets")
+        buckets = rows.groupBy("key").agg(F.count(F.lit(1)).alias("rows")).filter("rows > 1")
+        rows = put(rows.join(buckets, "key"), "members")
+        # a class amid its group shares the most buckets with the most others; it leads those it is in
+        weight = rows.groupBy("node").agg(F.sum("rows").alias("weight"))
+        rows = rows.join(weight, "node")
+        leaders = rows.groupBy("key").agg(F.max(F.struct("weight", (-F.col("node")).alias("minus"))).alias("top")).select("key", (-F.col("top.minus")).alias("leader"))
+        rows = put(rows.select("key", "node").join(leaders, "key"), "buckets")
         # only what shares a bucket goes on
         held = rows.select("node").distinct()
         self.held = put(classes.join(held, "node", "left_semi").select("node", "n", "sketch", "bands"), "held")
@@ -146,11 +157,9 @@ class Linker:
         sets = one.join(self.held.select("node").distinct(), "node", "left_semi").select("node", set_udf(self.size)("body").alias("set")).filter(F.size("set") > 0)
         self.sets = put(sets, "sets")
         first = self._prune(rows.filter("node != leader").select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct())
-        first = first.groupBy("b").agg(F.min_by("a", F.struct("bits", "a")).alias("a"))
         links = put(self._confirm(first), "links")
         labels = connected(links, self.scratch)
-        more = self._between(rows, labels)
-        links2 = put(self._confirm(self._prune(more)), "links")
+        links2 = put(self._between(rows, labels), "links")
         if links2.take(1):
             labels = connected(links.unionByName(links2), self.scratch)
         return classes.select("set1", "set2", "n", "node"), labels
@@ -169,33 +178,60 @@ class Linker:
         return p.filter(100 * both >= self.percent * (F.size("sa") + F.size("sb") - both)).select("a", "b").distinct()
 
     def _between(self, rows: DataFrame, labels: DataFrame) -> DataFrame:
-        """Pairs of classes in one bucket but in different components."""
+        """Links of classes in one bucket but in different components."""
         named = rows.select("key", "node").join(labels, "node", "left").select("key", "node", F.coalesce("label", "node").alias("label"))
+        named = self._open(named).drop("rows")
+        named = self.scratch.put(named.join(self._shared(named), "node"), "shared")
         found = []
         for depth in range(6):
-            stat = named.groupBy("key").agg(F.count(F.lit(1)).alias("rows"), F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo != hi").select("key", "rows")
-            here = self.scratch.put(named.join(stat, "key"), f"open{depth}")
+            here = self.scratch.put(self._open(named), f"open{depth}")
             last = depth == 5
             small = here if last else here.filter(F.col("rows") <= self.bucket_rows)
-            found.append(self._cross(small))
-            large = here.filter(F.col("rows") > self.bucket_rows)
+            found.append(self._cross(small, depth == 0))
+            large = here.filter(F.col("rows") > self.bucket_rows).drop("rows")
             if last or not large.take(1):
                 break
-            named = large.join(self.held.select("node", "bands"), "node").select("node", "label", "key", F.explode("bands").alias("band")).filter("key != band")
-            named = named.select(F.xxhash64("key", "band").alias("key"), "node", "label")
+            named = large.join(self.held.select("node", "bands"), "node").select("node", "label", "own", "key", F.explode("bands").alias("band")).filter("key != band")
+            named = named.select(F.xxhash64("key", "band").alias("key"), "node", "label", "own")
         out = found[0]
         for x in found[1:]:
             out = out.unionByName(x)
         return out.distinct()
 
-    def _cross(self, rows: DataFrame) -> DataFrame:
-        full = rows.join(self.held.select("node", "n", "sketch"), "node")
-        side = lambda x: full.select("key", F.col("node").alias(x), F.col("label").alias("l" + x), F.col("n").alias("n" + x), F.col("sketch").alias("s" + x))
-        near = (F.col("la") < F.col("lb")) & (100 * F.least("na", "nb") >= self.percent * F.greatest("na", "nb")) & (differing_bits("sa", "sb") <= self.limit)
+    @staticmethod
+    def _open(named: DataFrame) -> DataFrame:
+        """Members of buckets with several components, with the bucket's rows."""
+        stat = named.groupBy("key").agg(F.count(F.lit(1)).alias("rows"), F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo != hi").select("key", "rows")
+        return named.join(stat, "key")
+
+    def _shared(self, named: DataFrame) -> DataFrame:
+        """(node, own): how many of a class' shingles another open component
+        has too. A link to one has at least the similarity's share of both
+        sets in common, so classes with fewer have none and are left out."""
+        nodes = named.select("node", "label").distinct()
+        parts = self.scratch.put(self.sets.join(nodes, "node").select("node", "label", F.size("set").alias("n"), F.explode("set").alias("h")), "shingles")
+        common = parts.groupBy("h").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo != hi").select("h")
+        own = parts.join(common, "h", "left_semi").groupBy("node").agg(F.count(F.lit(1)).alias("own"), F.max("n").alias("n"))
+        return own.filter(100 * F.col("own") >= self.percent * F.col("n")).select("node", "own")
+
+    def _cross(self, rows: DataFrame, plain: bool) -> DataFrame:
+        """Links between components in one bucket. Pairs are judged inside the
+        join, cheap tests first and full sets last, so that only links leave
+        it. In a plain bucket a pair is judged only where it first meets."""
+        full = rows.join(self.held.select("node", "n", "sketch", "bands"), "node").join(self.sets, "node")
+        names = {"node": "", "label": "l", "n": "n", "own": "o", "sketch": "s", "bands": "k", "set": "t"}
+        side = lambda x: full.select("key", *(F.col(c).alias(p + x) for c, p in names.items()))
+        near = (F.col("la") < F.col("lb")) & (100 * F.least("na", "nb") >= self.percent * F.greatest("na", "nb"))
+        near = near & ((100 + self.percent) * F.least("oa", "ob") >= self.percent * (F.col("na") + F.col("nb")))
+        near = near & (differing_bits("sa", "sb") <= self.limit)
+        if plain:
+            near = near & (F.get(F.array_intersect("ka", "kb"), 0) == F.col("key"))
+        both = F.size(F.array_intersect("ta", "tb"))
+        near = near & (100 * both >= self.percent * (F.size("ta") + F.size("tb") - both))
         return side("a").join(side("b").withColumnRenamed("key", "key2"), (F.col("key") == F.col("key2")) & near).select("a", "b")
 
 
-def near_duplicates(docs: DataFrame, scratch: Scratch, size: int = 5, percent: int = 80, text: str = "text", doc_id: str = "doc_id", key: Column | None = None, bucket_rows: int = 1000) -> DataFrame:
+def near_duplicates(docs: DataFrame, scratch: Scratch, size: int = 5, percent: int = 80, text: str = "text", doc_id: str = "doc_id", key: Column | None = None, bucket_rows: int = 4000) -> DataFrame:
     """key (if given), doc_id, n_shingles, component_id, kept for each row."""
     cols = [F.col(doc_id).cast("long").alias("doc_id"), *([key.alias("key")] if key is not None else [])]
     sig = docs.select(*cols, signature_udf(size)(F.col(text)).alias("s"))
