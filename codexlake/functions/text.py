@@ -116,7 +116,7 @@ def escape_html(text: Column | str) -> Column:
 
 
 def anchor_id(hw: Column | str) -> Column:
-    return F.concat(F.lit("article-"), F.regexp_replace(F.regexp_replace(_c(hw), "[^A-Za-z0-9]+", "_"), "^_+|_+$", ""))
+    return F.concat(F.lit("article-"), F.regexp_replace(F.regexp_replace(F.upper(_c(hw)), "[^A-Z0-9]+", "_"), "^_+|_+$", ""))
 
 
 def edition_of_title(title: Column | str) -> Column:

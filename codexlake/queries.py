@@ -125,7 +125,7 @@ def roman_refs(spark, sf_dir):
     return r.select("k", F.col("r.vol").alias("vol"), F.explode("r.pages").alias("page"))
 
 
-@query("select page_id, 'article-' || regexp_replace(regexp_replace(url, '[^A-Za-z0-9]+', '_', 'g'), '^_+|_+$', '', 'g') as anchor, replace(replace(replace(replace(left(html, 300), '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '\"', '&quot;') as escaped from pages")
+@query("select page_id, 'article-' || regexp_replace(regexp_replace(upper(url), '[^A-Z0-9]+', '_', 'g'), '^_+|_+$', '', 'g') as anchor, replace(replace(replace(replace(left(html, 300), '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '\"', '&quot;') as escaped from pages")
 def html_and_anchor(spark, sf_dir):
     return read(spark, sf_dir, "pages").select("page_id", X.anchor_id("url").alias("anchor"), X.escape_html(F.left("html", F.lit(300))).alias("escaped"))
 

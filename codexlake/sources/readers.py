@@ -16,7 +16,8 @@ from ..functions.text import edition_of_title, group, letter_range, volume_of_ti
 
 
 def file_name() -> Column:
-    return F.col("_metadata.file_name")
+    """The file's name; Spark gives it with its signs escaped."""
+    return F.url_decode(F.replace(F.col("_metadata.file_name"), F.lit("+"), F.lit("%2B")))
 
 
 def volume_of_file(name: Column) -> Column:
