@@ -88,12 +88,20 @@ def host_verdicts(measured: DataFrame, host: str, rules: dict[str, str], prior_f
     return out.select("host", "n_docs", *(f"fail_{name}" for name in rules), *(f"rate_{name}" for name in rules), bad.alias("host_rejected"))
 
 
-def judge(measured: DataFrame, host: str, counts: str, rules: dict[str, str] | None = None, reject_rate: float = 0.6) -> DataFrame:
+#: Rejected hosts up to this number are broadcast; more are joined by shuffle.
+BROADCAST_HOSTS = 100_000
+
+
+def judge(measured: DataFrame, scratch: Scratch, host: str, counts: str, rules: dict[str, str] | None = None, reject_rate: float = 0.6) -> DataFrame:
     """measured with its struct of counts turned into a struct ``quality``: the
-    counts, ``base_failed``, ``host_rejected`` and ``kept``."""
+    counts, ``base_failed``, ``host_rejected`` and ``kept``. Rejected hosts are
+    written and counted, so that rows with texts aren't shuffled for a few."""
     rules = rules or RULES
     verdicts = host_verdicts(measured.select(F.col(host).alias("host"), f"{counts}.*"), "host", rules, reject_rate=reject_rate)
     bad = verdicts.filter("host_rejected").select(F.col("host").alias("__bad_host"), F.lit(True).alias("__rejected"))
+    bad = scratch.put(bad, "rejected")
+    if bad.limit(BROADCAST_HOSTS + 1).count() <= BROADCAST_HOSTS:
+        bad = F.broadcast(bad)
     out = measured.join(bad, F.col(host).eqNullSafe(F.col("__bad_host")), "left")
     failed = F.expr(f"{counts}.n_words < 10 or 100 * {counts}.n_repeat_words > 20 * {counts}.n_words")
     rejected = F.coalesce(F.col("__rejected"), F.lit(False))
@@ -105,4 +113,4 @@ def apply_rules(docs: DataFrame, scratch: Scratch, text: str = "text", host: str
     """docs with the struct column ``into`` (see judge). The measured rows are written
     once, so that no text is measured twice."""
     m = docs.select(F.struct(*docs.columns).alias("row"), F.col(host).alias("host"), metrics(F.col(text)).alias("q"))
-    return judge(scratch.put(m, "measured"), "host", "q", rules, reject_rate).select("row.*", F.col("quality").alias(into))
+    return judge(scratch.put(m, "measured"), scratch, "host", "q", rules, reject_rate).select("row.*", F.col("quality").alias(into))

@@ -52,8 +52,8 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
     # only ids, hosts and counts are written between the two passes
     m = docs.select("doc_id", "source", quality_rules.metrics("text").alias("q"))
-    m = Scratch(spark, "op7").put(m, "measured")
-    out = quality_rules.judge(m, "source", "q")
+    scratch = Scratch(spark, "op7")
+    out = quality_rules.judge(scratch.put(m, "measured"), scratch, "source", "q")
     q = "quality."
     return out.select("doc_id", *(F.col(q + c) for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")))
 
