@@ -41,6 +41,7 @@ class Scratch:
         self.spark, self.base = spark, f"{shared_root(spark).rstrip('/')}/codexlake-{name}-{uuid.uuid4().hex}"
         self.seq = 0
         path, fs = self._at(self.base)
+        fs.mkdirs(path)  # deleteOnExit passes over what isn't there yet
         fs.deleteOnExit(path)
 
     def _at(self, where: str):
