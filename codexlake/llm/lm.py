@@ -1,19 +1,26 @@
 """Log-bilinear language model, trained by noise-contrastive estimation.
 
-Counts of all words come from every learning text. The ``vocabulary`` most
-frequent ones (the end of a text counts as a word) are the model's; all others
-are one class, within which a word's share is its add-one count. The score of a
-word after two others is (C1 r1 + C2 r2) . r + b.
+Counts of all words come from every learning text (the end of a text counts as
+a word). A word that occurs ``least`` times or more there is the model's own, so
+that the vocabulary grows with the corpus; all others are dealt by CRC-32 to
+groups, one for 16 own words, and a group is to the model as a word is: it is
+predicted and it is a context. Within a group a word's share is its add-one
+count.
+
+With h = C1 r1 + C2 r2 of the two words before, words by frequency fall into
+classes of 1, 3, 5 ... words, so n words have about sqrt(n) classes; a word's
+probability is its class's, softmax of h . s + bs over classes, by its own,
+softmax of h . r + b over the words of its class. Both are exactly normalised
+and no table is larger than the vectors.
 
 Training: every partition of the learning texts runs minibatches in numpy from
-the same start, with noise words shared by a minibatch, and the parameters are
-averaged, weighted by words. Scoring: the two context terms are matrices over
-context and word, T1 and T2, and the normalisers of all pairs of context words
-are the one product exp(T1) exp(T2 + b)'; so each word's probability is exactly
-normalised, and costs four look-ups.
+the same start, with noise classes shared by a minibatch and noise words from
+the word's class. Parameters are averaged: a word's vector by how often a
+partition used it, the others by words.
 
 The ``head`` most frequent words travel to the executors with their counts (a
-fixed bound); counts of rarer ones are joined, grouped by text.
+fixed bound, of the model's own words too); counts of rarer ones are joined,
+grouped by text.
 
 Defined cases: a null text is empty (its end alone is scored); with no learning
 text every count is 0; repeated rows are scored each; extra columns pass by.
@@ -23,7 +30,7 @@ from __future__ import annotations
 
 import uuid
 from collections import Counter
-from functools import cached_property
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
@@ -34,7 +41,8 @@ from pyspark.sql import types as T
 from .common import Scratch, row_type
 
 END = b""  # no word is empty
-SCORED = T.StructType([*row_type(n_tokens="long", known="long", head_sum="double", model_sum="double", n_rare="long", rare_sum="double"), T.StructField("words", T.ArrayType(T.BinaryType())), T.StructField("counts", T.ArrayType(T.LongType()))])
+BLOCK = 512  # words whose parameters travel in one row
+SCORED = T.StructType([*row_type(n_tokens="long", known="long", head_sum="double", model_sum="double", group_sum="double", rare_sum="double"), T.StructField("words", T.ArrayType(T.BinaryType())), T.StructField("counts", T.ArrayType(T.LongType()))])
 
 
 def tokens(text: bytes | None) -> list[bytes]:
@@ -83,67 +91,128 @@ def frequent(counts: DataFrame, head: int) -> list[tuple[bytes, int]]:
 
 
 class Model:
-    """Parameters of classes 0..V-1 (words), V (all others), V+1 (before the text)."""
+    """Parameters of words 0..n-1 by falling frequency, and n (before the text)."""
 
     def __init__(self, unigram: np.ndarray, dim: int = 16, seed: int = 5):
         rng = np.random.default_rng(seed)
         self.n, self.dim = len(unigram), dim
-        self.log_noise = np.log(unigram).astype(np.float32)
-        self.cdf = np.cumsum(unigram)
+        self.klass = np.sqrt(np.arange(self.n)).astype(np.int64)
+        self.low = np.arange(self.klass[-1] + 2) ** 2
+        self.low[-1] = self.n
+        mass = np.add.reduceat(unigram, self.low[:-1])
+        self.cdf, self.unigram = np.cumsum(mass), unigram
+        self.log_class = np.log(mass).astype(np.float32)
+        self.log_word = (np.log(unigram) - np.log(mass)[self.klass]).astype(np.float32)
         self.r = rng.normal(0, 0.1, (self.n + 1, dim)).astype(np.float32)
+        self.s = rng.normal(0, 0.1, (len(mass), dim)).astype(np.float32)
         self.c = np.stack([np.eye(dim, dtype=np.float32) * 0.5] * 2)
-        self.b = self.log_noise.copy()
+        self.bs, self.b = self.log_class.copy(), np.append(self.log_word, np.float32(0))
+        self.hits = np.zeros(self.n + 1)
 
-    PARTS = ("r", "c", "b")
+    DENSE = ("s", "c", "bs")
 
-    def vector(self) -> np.ndarray:
-        return np.concatenate([getattr(self, p).ravel() for p in self.PARTS])
+    def dense(self) -> np.ndarray:
+        return np.concatenate([getattr(self, p).ravel() for p in self.DENSE])
 
-    def load(self, v: np.ndarray) -> Model:
+    def rows(self) -> np.ndarray:
+        return np.hstack([self.r, self.b[:, None]])
+
+    def load(self, dense: np.ndarray, rows: np.ndarray) -> Model:
         at = 0
-        for p in self.PARTS:
+        for p in self.DENSE:
             x = getattr(self, p)
-            setattr(self, p, v[at : at + x.size].reshape(x.shape).astype(np.float32))
+            setattr(self, p, dense[at : at + x.size].reshape(x.shape).astype(np.float32))
             at += x.size
+        self.r, self.b = rows[:, :-1].astype(np.float32), rows[:, -1].astype(np.float32)
         return self
 
-    def _scatter(self, rows: np.ndarray, values: np.ndarray, n: int) -> np.ndarray:
-        return np.stack([np.bincount(rows, values[:, d], n) for d in range(self.dim)], 1).astype(np.float32)
+    def noise_words(self, rng, size: int = 256) -> np.ndarray:
+        """Words drawn from each class, by frequency."""
+        ends = np.cumsum(self.unigram)
+        k = len(self.low) - 1
+        base = np.where(self.low[:-1] > 0, ends[self.low[:-1] - 1], 0.0)[:, None]
+        drawn = np.searchsorted(ends, base + rng.random((k, size)) * (ends[self.low[1:] - 1][:, None] - base))
+        return np.clip(drawn, self.low[:-1, None], self.low[1:, None] - 1)
 
-    def train(self, c1: np.ndarray, c2: np.ndarray, w: np.ndarray, rng, memory: dict, noise: int = 32, rate: float = 0.08) -> None:
+    def train(self, c1: np.ndarray, c2: np.ndarray, w: np.ndarray, rng, memory: dict, noise: int = 32, own: int = 4, rate: float = 0.08) -> None:
         """One minibatch by AdaGrad; memory keeps the squared gradients."""
+        if not memory:
+            memory.update({p: np.zeros_like(getattr(self, p)) for p in (*self.DENSE, "r", "b")}, drawn=self.noise_words(rng), at=np.zeros(self.n + 1, np.int64))
+        near = lambda x: 1 / (1 + np.exp(np.clip(x, -30, 30)))
+        cl = self.klass[w]
         k = np.searchsorted(self.cdf, rng.random(noise) * self.cdf[-1])
-        r1, r2, rw, rk = self.r[c1], self.r[c2], self.r[w], self.r[k]
+        k = np.minimum(k, len(self.cdf) - 1)
+        v = memory["drawn"][cl[:, None], rng.integers(0, memory["drawn"].shape[1], (len(w), own))]
+        r1, r2, rw, rv, sw, sk = self.r[c1], self.r[c2], self.r[w], self.r[v], self.s[cl], self.s[k]
         h = r1 @ self.c[0].T + r2 @ self.c[1].T
+        # classes
         shift = np.float32(np.log(noise))
-        true = (h * rw).sum(1) + self.b[w] - self.log_noise[w] - shift
-        fake = h @ rk.T + (self.b[k] - self.log_noise[k] - shift)
-        gt = 1 / (1 + np.exp(np.clip(true, -30, 30)))
-        gf = -1 / (1 + np.exp(-np.clip(fake, -30, 30)))
-        gh = gt[:, None] * rw + gf @ rk
-        gr = self._scatter(w, gt[:, None] * h, self.n + 1)
-        np.add.at(gr, k, gf.T @ h)
-        gr += self._scatter(c1, gh @ self.c[0], self.n + 1) + self._scatter(c2, gh @ self.c[1], self.n + 1)
-        gb = np.bincount(w, gt, self.n).astype(np.float32)
-        np.add.at(gb, k, gf.sum(0))
-        for p, g in (("r", gr), ("c", np.stack([gh.T @ r1, gh.T @ r2])), ("b", gb)):
+        gt = near((h * sw).sum(1) + self.bs[cl] - self.log_class[cl] - shift)
+        gf = -near(-(h @ sk.T + (self.bs[k] - self.log_class[k] - shift)))
+        # words in their class
+        shift = np.float32(np.log(own))
+        ht = near((h * rw).sum(1) + self.b[w] - self.log_word[w] - shift)
+        hf = -near(-((rv @ h[:, :, None])[:, :, 0] + (self.b[v] - self.log_word[v] - shift)))
+        gh = gt[:, None] * sw + gf @ sk + ht[:, None] * rw + (hf[:, None, :] @ rv)[:, 0]
+        gs = _scatter(cl, gt[:, None] * h, len(self.s))
+        np.add.at(gs, k, gf.T @ h)
+        gbs = np.bincount(cl, gt, len(self.s)).astype(np.float32)
+        np.add.at(gbs, k, gf.sum(0))
+        for p, g in (("s", gs), ("c", np.stack([gh.T @ r1, gh.T @ r2])), ("bs", gbs)):
             g = g / len(w)
-            memory[p] = memory.get(p, 0) + g * g
+            memory[p] += g * g
             setattr(self, p, getattr(self, p) + np.float32(rate) * g / (np.sqrt(memory[p]) + np.float32(1e-6)))
-
-    @cached_property
-    def tables(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Terms of each context word for each word, bias in the second, and
-        log normalisers of all pairs of context words, in log10."""
-        words = self.r[: self.n].astype(np.float64)
-        t1 = np.clip(self.r @ self.c[0].T @ words.T, -60, 60)
-        t2 = np.clip(self.r @ self.c[1].T @ words.T + self.b, -60, 60)
-        z = np.exp(t1) @ np.exp(t2).T
-        return (t1 / np.log(10)).astype(np.float32), (t2 / np.log(10)).astype(np.float32), np.log10(z).astype(np.float32)
-
-    def log10(self, c1: np.ndarray, c2: np.ndarray, w: np.ndarray) -> np.ndarray:
-        t1, t2, z = self.tables
-        return t1[c1, w].astype(np.float64) + t2[c2, w] - z[c1, c2]
+        # only the rows in use
+        ids = np.concatenate([w, v.ravel(), c1, c2])
+        used = np.bincount(ids, minlength=self.n + 1)
+        rows = np.flatnonzero(used)
+        memory["at"][rows] = np.arange(len(rows))
+        to = memory["at"][ids]
+        self.hits[rows] += used[rows]
+        gr = _scatter(to, np.concatenate([ht[:, None] * h, (hf[:, :, None] * h[:, None, :]).reshape(-1, self.dim), gh @ self.c[0], gh @ self.c[1]]), len(rows))
+        gb = np.bincount(to[: len(w) * (own + 1)], np.concatenate([ht, hf.ravel()]), len(rows)).astype(np.float32)
+        for p, g in (("r", gr), ("b", gb)):
+            g, x = g / len(w), getattr(self, p)
+            m = memory[p][rows] + g * g
+            memory[p][rows] = m
+            x[rows] += np.float32(rate) * g / (np.sqrt(m) + np.float32(1e-6))
+
+    def log10(self, c1: np.ndarray, c2: np.ndarray, w: np.ndarray, part: int = 1 << 16) -> np.ndarray:
+        return np.concatenate([self._log10(c1[a : a + part], c2[a : a + part], w[a : a + part]) for a in range(0, len(w), part)] or [np.zeros(0)])
+
+    def _log10(self, c1: np.ndarray, c2: np.ndarray, w: np.ndarray) -> np.ndarray:
+        order = np.argsort(self.klass[w], kind="stable")
+        w = w[order]
+        cl = self.klass[w]
+        h = self.r[c1[order]] @ self.c[0].T + self.r[c2[order]] @ self.c[1].T
+        got = np.empty(len(w))
+        for a in range(0, len(w), 4096):
+            got[a : a + 4096] = _log_share(h[a : a + 4096], self.s, self.bs, cl[a : a + 4096])
+        ends = np.append(np.flatnonzero(np.diff(cl)) + 1, len(w))
+        begin = 0
+        for end in ends:
+            lo, hi = self.low[cl[begin]], self.low[cl[begin] + 1]
+            for a in range(begin, end, 4096) if hi - lo > 1 else ():
+                b = min(a + 4096, end)
+                got[a:b] += _log_share(h[a:b], self.r[lo:hi], self.b[lo:hi], w[a:b] - lo)
+            begin = end
+        out = np.empty(len(w))
+        out[order] = got / np.log(10)
+        return out
+
+
+def _scatter(rows: np.ndarray, values: np.ndarray, n: int) -> np.ndarray:
+    return np.stack([np.bincount(rows, values[:, d], n) for d in range(values.shape[1])], 1).astype(np.float32)
+
+
+def _log_share(h: np.ndarray, vectors: np.ndarray, bias: np.ndarray, pick: np.ndarray) -> np.ndarray:
+    """Logarithm of the softmax at pick."""
+    x = h @ vectors.T
+    x += bias
+    np.clip(x, -60, 60, out=x)
+    at = x[np.arange(len(x)), pick].astype(np.float64)
+    np.exp(x, out=x)
+    return at - np.log(x.sum(1, dtype=np.float64))
 
 
 def contexts(ids: np.ndarray, first: np.ndarray, before: int) -> tuple[np.ndarray, np.ndarray]:
@@ -155,62 +224,110 @@ def contexts(ids: np.ndarray, first: np.ndarray, before: int) -> tuple[np.ndarra
     return c1, c2
 
 
-def fit(docs: DataFrame, text: str, words: list[bytes], unigram: np.ndarray, dim: int, batch_words: int = 4096) -> np.ndarray:
+class Words:
+    """Places of words in the model: own ones and groups, by falling frequency."""
+
+    def __init__(self, words: list[bytes], own: int, mass: np.ndarray):
+        self.own, self.groups = own, len(mass) - own
+        self.order = np.argsort(-mass, kind="stable")
+        self.place = np.empty(len(mass), np.int64)
+        self.place[self.order] = np.arange(len(mass))
+        tail = np.array([self.group(w) for w in words[own:]], np.int64)
+        self.slot = np.concatenate([self.place[:own], self.place[own + tail]])
+
+    def group(self, word: bytes) -> int:
+        return crc32(word) % self.groups
+
+    def of(self, at: np.ndarray, groups: list[int]) -> np.ndarray:
+        """Places by number among the head, -1 with the next of ``groups``."""
+        out = np.empty(len(at), np.int64)
+        far = at < 0
+        out[~far] = self.slot[at[~far]]
+        out[far] = self.place[self.own + np.array(groups, np.int64)]
+        return out
+
+
+def fit(docs: DataFrame, text: str, words: list[bytes], places: Words, unigram: np.ndarray, dim: int, batch_words: int = 4096) -> tuple[np.ndarray, np.ndarray]:
     """Parameters averaged over the partitions of all learning texts."""
     model = Model(unigram, dim)
-    total = model.vector()
-    other = len(words)
+    before = model.n
 
     def run(batches):
         own, rng, memory = Model(unigram, dim), np.random.default_rng(9), {}
         ids = {w: i for i, w in enumerate(words)}
-        seen, queue, first = 0, [], []
+        seen, queue, groups, first = 0, [], [], []
 
         def flush():
-            nonlocal seen, queue, first
+            nonlocal seen, queue, groups, first
             if not queue:
                 return
-            w = np.fromiter(queue, np.int64, len(queue))
-            c1, c2 = contexts(w, np.array(first), other + 1)
+            w = places.of(np.fromiter(queue, np.int64, len(queue)), groups)
+            c1, c2 = contexts(w, np.array(first), before)
             for a in range(0, len(w), batch_words):
                 own.train(c1[a : a + batch_words], c2[a : a + batch_words], w[a : a + batch_words], rng, memory)
             seen += len(w)
-            queue, first = [], []
+            queue, groups, first = [], [], []
 
         for batch in batches:
             for x in _bytes(batch.column(0)):
                 first.append(len(queue))
-                queue += [ids.get(t, other) for t in tokens(x)]
+                t = tokens(x)
+                got = [ids.get(y, -1) for y in t]
+                queue += got
+                if -1 in got:
+                    groups += [places.group(y) for y, i in zip(t, got, strict=True) if i < 0]
                 if len(queue) >= 64 * batch_words:
                     flush()
         flush()
         if seen:
-            v = own.vector().astype(np.float64)
-            yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(v))), pa.array(v * seen), pa.array(np.full(len(v), seen, np.int64))], ["at", "v", "n"])
-
-    got = docs.select(text).mapInArrow(run, row_type(at="long", v="double", n="long")).groupBy("at").agg((F.sum("v") / F.sum("n")).alias("v"))
-    for r in got.collect():  # a few ten thousand parameters
-        total[r["at"]] = r["v"]
-    return total
-
-
-_loaded: dict[str, tuple[dict, Model, np.ndarray]] = {}
-
-
-def _open(name: str, b) -> tuple[dict[bytes, int], Model, np.ndarray]:
+            d, rows = own.dense(), own.rows()
+            yield packed([-1], [d], [np.full(1, float(seen))])
+            at = [a for a in range(0, len(rows), BLOCK) if own.hits[a : a + BLOCK].any()]
+            yield packed([a // BLOCK for a in at], [rows[a : a + BLOCK] for a in at], [own.hits[a : a + BLOCK] for a in at])
+
+    def packed(at, v, n):
+        return pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array([x.astype(np.float32).tobytes() for x in v], pa.binary()), pa.array([x.tobytes() for x in n], pa.binary())], ["at", "v", "n"])
+
+    def average(block: pa.Table) -> pa.Table:
+        v, n = 0.0, 0.0
+        for x, m in zip(block["v"], block["n"], strict=True):
+            m = np.frombuffer(m.as_py())
+            v = v + np.frombuffer(x.as_py(), np.float32).reshape(len(m), -1) * m[:, None]
+            n = n + m
+        mean = v / np.maximum(n, 1)[:, None]
+        return pa.table({"at": block["at"][:1], "v": pa.array([mean.astype(np.float32).tobytes()], pa.binary()), "n": pa.array([n.tobytes()], pa.binary())})
+
+    kind = row_type(at="long", v="binary", n="binary")
+    dense, rows = model.dense(), model.rows()
+    for r in docs.select(text).mapInArrow(run, kind).groupBy("at").applyInArrow(average, kind).toLocalIterator():
+        n = np.frombuffer(r["n"])
+        v = np.frombuffer(r["v"], np.float32).reshape(len(n), -1)
+        if r["at"] < 0:
+            dense = v[0]
+        else:
+            a = r["at"] * BLOCK
+            rows[a : a + BLOCK] = np.where((n > 0)[:, None], v, rows[a : a + BLOCK])
+    return dense, rows
+
+
+_loaded: dict[str, tuple[dict, Words, Model, np.ndarray, np.ndarray]] = {}
+
+
+def _open(name: str, b) -> tuple[dict[bytes, int], Words, Model, np.ndarray, np.ndarray]:
     """Built once in each Python worker."""
     if name not in _loaded:
         _loaded.clear()
-        words, counts, unigram, vector, dim = b.value
-        _loaded[name] = {w: i for i, w in enumerate(words)}, Model(unigram, dim).load(vector), np.log10(counts + 1.0)
+        words, counts, places, unigram, vectors, shares, dim = b.value
+        _loaded[name] = {w: i for i, w in enumerate(words)}, places, Model(unigram, dim).load(*vectors), np.log10(counts + 1.0), shares
     return _loaded[name]
 
 
-def scorer(shared, vocabulary: int):
+def scorer(shared):
     name = uuid.uuid4().hex
 
-    def part(texts, index, model, logs) -> list[list]:
+    def part(texts, index, places, model, logs, shares) -> list[list]:
         flat: list[int] = []
+        groups: list[int] = []
         first, rare = [], []
         get = index.get
         for x in texts:
@@ -218,22 +335,24 @@ def scorer(shared, vocabulary: int):
             t = tokens(x)
             got = [get(w, -1) for w in t]
             flat += got
-            rare.append(Counter(w for w, i in zip(t, got, strict=True) if i < 0) if -1 in got else {})
+            far = [w for w, i in zip(t, got, strict=True) if i < 0] if -1 in got else []
+            groups += [places.group(w) for w in far]
+            rare.append(Counter(far))
         at = np.array(flat, np.int64)
         begin = np.array(first)
-        other = vocabulary
-        classes = np.where((at >= 0) & (at < vocabulary), at, other)
-        logp = model.log10(*contexts(classes, begin, other + 1), classes)
+        ids = places.of(at, groups)
+        grouped = ~((at >= 0) & (at < places.own))
+        logp = model.log10(*contexts(ids, begin, model.n), ids)
         log_c = np.where(at >= 0, logs[at], 0.0) if len(logs) else np.zeros(len(at))
         sums = lambda v: np.add.reduceat(v, begin)
-        return [np.diff(np.append(begin, len(at))), sums((at >= 0).astype(np.int64)), sums(log_c), sums(logp), sums((classes == other).astype(np.int64)), sums(np.where(classes == other, log_c, 0.0)), rare]
+        return [np.diff(np.append(begin, len(at))), sums((at >= 0).astype(np.int64)), sums(log_c), sums(logp), sums(shares[ids]), sums(np.where(grouped, log_c, 0.0)), rare]
 
     @F.arrow_udf(SCORED)
     def score(text: pa.Array) -> pa.Array:
-        index, model, logs = _open(name, shared)
+        held = _open(name, shared)
         out = []
         for a in range(0, len(text), 500):
-            *cols, rare = part(_bytes(text.slice(a, 500)), index, model, logs)
+            *cols, rare = part(_bytes(text.slice(a, 500)), *held)
             lists = [pa.array([list(r) for r in rare], pa.list_(pa.binary())), pa.array([list(r.values()) for r in rare], pa.list_(pa.int64()))]
             out.append(pa.StructArray.from_arrays([*(pa.array(c) for c in cols), *lists], SCORED.names))
         return pa.concat_arrays(out) if out else pa.array([], pa.struct([]))
@@ -241,9 +360,10 @@ def scorer(shared, vocabulary: int):
     return score
 
 
-def score_texts(docs: DataFrame, learning: Column, scratch: Scratch, keep: list[Column], text: str = "text", vocabulary: int = 1024, head: int = 1 << 18, dim: int = 16) -> DataFrame:
+def score_texts(docs: DataFrame, learning: Column, scratch: Scratch, keep: list[Column], text: str = "text", vocabulary: int | None = None, head: int = 1 << 18, dim: int = 16, least: int = 32) -> DataFrame:
     """The columns ``keep`` with n_tokens, n_known, train_tokens, base_score
-    and score for each row of docs; the model learns from rows of ``learning``."""
+    and score for each row of docs; the model learns from rows of ``learning``.
+    ``vocabulary`` sets the number of the model's own words, if not by ``least``."""
     spark = docs.sparkSession
     train = docs.filter(learning)
     counts = scratch.put(word_counts(train, text), "counts")
@@ -251,12 +371,22 @@ def score_texts(docs: DataFrame, learning: Column, scratch: Scratch, keep: list[
     n, v = total["n"], total["v"]
     top = frequent(counts, head)
     words, c = [w for w, _ in top], np.array([x for _, x in top], np.float64)
-    vocabulary = min(vocabulary, len(words))
-    n_rare, v_rare = n - int(c[:vocabulary].sum()), v - vocabulary
-    unigram = np.append(c[:vocabulary], n_rare + 1.0) / (n + 1.0)
-    vector = fit(train, text, words[:vocabulary], unigram, dim)
-    shared = spark.sparkContext.broadcast((words, c, unigram, vector, dim))
-    scored = docs.select(*keep, scorer(shared, vocabulary)(F.col(text)).alias("s"), F.monotonically_increasing_id().alias("__row"))
+    own = int((c >= least).sum()) if vocabulary is None else min(vocabulary, len(words))
+    groups = own // 16 + 1
+    # words and tokens of each group: all in it, without the model's own
+    n_group, v_group = np.zeros(groups), np.zeros(groups)
+    for r in counts.groupBy((F.crc32("word") % groups).alias("g")).agg(F.sum("c").alias("n"), F.count(F.lit(1)).alias("v")).collect():
+        n_group[r["g"]], v_group[r["g"]] = r["n"], r["v"]
+    at = np.array([crc32(w) % groups for w in words[:own]], np.int64)
+    n_group -= np.bincount(at, c[:own], groups)
+    v_group -= np.bincount(at, minlength=groups)
+    mass = np.append(c[:own], n_group + 1.0)
+    places = Words(words, own, mass)
+    unigram = mass[places.order] / (n + groups)
+    shares = np.append(np.zeros(own), np.log10(n_group + v_group + 1.0))[places.order]
+    vectors = fit(train, text, words, places, unigram, dim)
+    shared = spark.sparkContext.broadcast((words, c, places, unigram, vectors, shares, dim))
+    scored = docs.select(*keep, scorer(shared)(F.col(text)).alias("s"), F.monotonically_increasing_id().alias("__row"))
     scored = scratch.put(scored, "scored")
     pairs = scored.select("__row", F.explode(F.arrays_zip(F.col("s.words").alias("w"), F.col("s.counts").alias("k"))).alias("x")).select("__row", F.col("x.w").alias("word"), F.col("x.k").alias("k"))
     rare = pairs.join(counts, "word").groupBy("__row").agg(F.sum("k").alias("rare_known"), F.sum(F.col("k") * F.log10(F.col("c") + 1)).alias("rare_log"))
@@ -269,5 +399,5 @@ def score_texts(docs: DataFrame, learning: Column, scratch: Scratch, keep: list[
         (F.col("s.known") + F.coalesce("rare_known", F.lit(0))).alias("n_known"),
         F.lit(n).cast("long").alias("train_tokens"),
         (F.col("s.head_sum") + extra - F.col("s.n_tokens") * F.log10(F.lit(float(n + v + 1)))).alias("base_score"),
-        (F.col("s.model_sum") + F.col("s.rare_sum") + extra - F.col("s.n_rare") * F.log10(F.lit(float(n_rare + v_rare + 1)))).alias("score"),
+        (F.col("s.model_sum") + F.col("s.rare_sum") + extra - F.col("s.group_sum")).alias("score"),
     )
