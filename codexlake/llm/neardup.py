@@ -18,7 +18,8 @@
 Defined cases: a text without words (or null) has an empty set and links with
 nothing; one with fewer words than a shingle is one shingle; a null id is never
 a component's id, and its row is kept only if its component has no id; rows
-that share an id are one document; an empty table gives an empty result.
+that share an id are one document (``deduplicated`` goes by row instead); an
+empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -243,12 +244,13 @@ def near_duplicates(docs: DataFrame, scratch: Scratch, size: int = 5, percent: i
     return out.select(*(["key"] if key is not None else []), "doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"), F.coalesce(F.col("doc_id") == component, component.isNull()).alias("kept"))
 
 
-def deduplicated(docs: DataFrame, scratch: Scratch, **options) -> DataFrame:
-    """docs with one row of each component: that of its smallest id, the first
-    in the table among rows that share it. Rows without words all stay."""
-    key = free_name(docs, "__place")
-    placed = docs.withColumn(key, F.monotonically_increasing_id())
-    found = near_duplicates(placed, scratch, key=F.col(key), **options)
-    group = F.when(F.col("n_shingles") == 0, F.concat(F.lit("p"), "key")).otherwise(F.coalesce(F.concat(F.lit("c"), "component_id"), F.concat(F.lit("p"), "key")))
-    best = found.groupBy(group.alias("group")).agg(F.min(F.struct(F.col("doc_id").isNull().alias("x"), "doc_id", "key")).alias("best"))
-    return placed.join(best.select(F.col("best.key").alias(key)), key, "left_semi").drop(key)
+def deduplicated(docs: DataFrame, scratch: Scratch, doc_id: str = "doc_id", **options) -> DataFrame:
+    """docs with one row of each component of near-duplicate rows, whatever
+    their ids: that of the smallest id, the first in the table among rows that
+    share it; null ids come last. Rows without words all stay."""
+    place = free_name(docs, "__place")
+    placed = docs.withColumn(place, F.monotonically_increasing_id())
+    # rows are linked by place, and their ids pass by
+    found = near_duplicates(placed, scratch, doc_id=place, key=F.col(doc_id), **options).withColumnsRenamed({"doc_id": "place", "key": "id"})
+    best = found.groupBy("component_id").agg(F.min(F.struct(F.col("id").isNull().alias("x"), "id", "place")).alias("best"))
+    return placed.join(best.select(F.col("best.place").alias(place)), place, "left_semi").drop(place)
