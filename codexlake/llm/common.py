@@ -29,9 +29,16 @@ def row_type(**fields: str) -> T.StructType:
 
 
 def shared_root(spark: SparkSession) -> str:
-    """The folder that driver and executors share; a local one only if unset."""
+    """The folder that driver and executors share: spark.checkpoint.dir, or the
+    context's checkpoint folder. Where neither is set, a folder of this machine
+    if it is the only one (master local[...]); on a cluster that is an error."""
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    return root or f"file://{tempfile.gettempdir()}/codexlake-scratch"
+    if root:
+        return root
+    master = spark.sparkContext.master
+    if not (master == "local" or master.startswith("local[")):
+        raise ValueError(f"set spark.checkpoint.dir to a folder that all machines of {master} share")
+    return f"file://{tempfile.gettempdir()}/codexlake-scratch"
 
 
 class Scratch:
@@ -69,6 +76,11 @@ class Scratch:
             fs.delete(path, True)
 
 
+def few(df: DataFrame, most: int) -> DataFrame:
+    """df, marked for broadcast if it has at most ``most`` rows (counted)."""
+    return F.broadcast(df) if df.count() <= most else df
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

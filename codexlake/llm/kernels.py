@@ -82,3 +82,31 @@ def word_windows(h: np.ndarray, size: int) -> np.ndarray:
     for j in range(1, size):
         acc = acc + h[j : j + n] * _STEP[j]
     return mix(acc)
+
+
+def word_hashes(data: np.ndarray, offs: np.ndarray, spaces: np.ndarray = SPACE, piece: int = 1 << 20) -> tuple[np.ndarray, np.ndarray]:
+    """Hash of each word, and for each row its first word's number. A row that
+    is longer than a piece comes alone; its tables are made piece by piece, and
+    a word that crosses a border is put together from its parts."""
+    if len(data) <= piece:
+        start, end, first = words(data, offs, spaces)
+        return ranges(prefix(data), start, end), first
+    out: list[np.ndarray] = []
+    raw_open, size_open = np.uint64(0), 0
+    for at in range(0, len(data), piece):
+        part = data[at : at + piece]
+        start, end, _ = words(part, np.array([0, len(part)]), spaces)
+        sums = prefix(part)
+        raw, size = (sums[end] - sums[start]) * powers(len(part))[1][start], (end - start).astype(np.uint64)
+        if size_open and len(start) and start[0] == 0:
+            raw[0] = raw_open + raw[0] * np.uint64(pow(BASE[0], size_open, 1 << 64))
+            size[0] += np.uint64(size_open)
+        elif size_open:
+            raw, size = np.append(raw_open, raw), np.append(np.uint64(size_open), size)
+        size_open = 0
+        if len(end) and end[-1] == len(part) and at + piece < len(data):
+            raw_open, size_open = raw[-1], int(size[-1])
+            raw, size = raw[:-1], size[:-1]
+        out.append(mix(raw + size))
+    h = np.concatenate(out)
+    return h, np.array([0, len(h)])

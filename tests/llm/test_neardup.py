@@ -1,8 +1,10 @@
 import random
 
+import numpy as np
 import pyarrow as pa
 import pytest
 
+from codexlake.llm import kernels as K
 from codexlake.llm import neardup
 from codexlake.llm.components import connected
 
@@ -84,3 +86,33 @@ def test_signature_is_the_same_in_any_batch():
     one = neardup.signature_of(neardup.shingle_sets(t, 4), 4).to_pylist()
     assert one[0] == neardup.signature_of(neardup.shingle_sets(t.slice(0, 1), 4), 1).to_pylist()[0]
     assert one[1] is None and one[3] is None
+
+
+def test_large_bucket_meets_all(spark, documents, scratch):
+    """60 near copies in one bucket, dealt into cells of 7 rows."""
+    rng = random.Random(5)
+    base = [f"w{i}" for i in range(60)]
+    rows = []
+    for i in range(60):
+        t = list(base)
+        for _ in range(rng.randint(1, 3)):
+            t[rng.randrange(60)] = f"x{rng.randrange(10**6)}"
+        rows.append((i, " ".join(t)))
+    got = neardup.near_duplicates(documents(rows), scratch, size=4, bucket_rows=7).collect()
+    assert sorted((r.doc_id, r.n_shingles, r.component_id, r.kept) for r in got) == brute(rows, 4, 80)
+
+
+def test_text_ids_nulls_and_clashing_columns(spark, scratch):
+    rows = [("b", "x y z q r", "1"), ("a", "x y z q r", "2"), (None, "x y z q r", "3"), ("c", None, "4"), ("c", "", "5")]
+    docs = spark.createDataFrame(rows, "doc_id string, text string, component_id string")
+    got = neardup.near_duplicates(docs, scratch, size=4).collect()
+    assert sorted((r.doc_id or "", r.component_id or "") for r in got) == [("", "a"), ("a", "a"), ("b", "a"), ("c", "c"), ("c", "c")]
+
+
+def test_words_in_pieces():
+    text = ("ab cde  f " * 40 + "x" * 50 + " y").encode()
+    data, offs = np.frombuffer(text, np.uint8), np.array([0, len(text)])
+    whole, _ = K.word_hashes(data, offs)
+    for piece in (1, 7, 16, 64):
+        parts, first = K.word_hashes(data, offs, piece=piece)
+        assert parts.tolist() == whole.tolist() and first.tolist() == [0, len(whole)]
