@@ -21,7 +21,7 @@ ENTRY_VERB = r"(?:\n\n+)(?:\*\*)?([A-Z][A-Z'\-]{2,}(?:\s+[A-Z][A-Z'\-]+)*)(?:\*\
 ENTRY_TREATISE = rf"(?:\n+|---\s*\n+)(?:\*\*)?({_CAPS})(?:\*\*)?\.\s*\n+"
 STRUCTURAL = r"^(?:CHAPTER|PART|SECT(?:ION)?|PLATE|FIG(?:URE)?|TABLE|VOL(?:UME)?|BOOK)\s*[IVXLCDM\d]+"
 FRONT_MATTER_TEXT = (r"ENCYCLOP[AÆ]DIA\s+BRITANNICA", r"DICTIONARY\s+OF\s+ARTS", r"PREFACE", r"DEDICATION", r"TO\s+THE\s+KING", r"ADVERTISEMENT", r"TABLE\s+OF\s+CONTENTS", r"COPPERPLATES", r"EDINBURGH[\s\S]*Printed")
-FRONT_MATTER_HEADWORD = r"^(?:OR$|DICTIONARY|OF$|ARTS|SCIENCES|PREFACE|ENCYCLOP|LONDON|EDINBURGH|PRINTED)"
+FRONT_MATTER_HEADWORDS = (r"^OR$", r"^DICTIONARY", r"^OF$", r"^ARTS", r"^SCIENCES", r"^PREFACE", r"^ENCYCLOP", r"^LONDON", r"^EDINBURGH", r"^PRINTED")
 
 # --- fixed values: references, coordinates, dates --------------------------
 CROSS_REFERENCES = (
@@ -60,6 +60,49 @@ TREATISES = (
     "LOGIC", "MECHANICS", "MEDICINE", "METAPHYSICS", "MIDWIFERY", "MINERALOGY", "MUSIC", "NAVIGATION", "OPTICS", "PHARMACY",
     "PHILOSOPHY", "POETRY", "RELIGION", "SCOTLAND", "SURGERY", "SURVEYING", "THEOLOGY",
 )
+#: editions with lists of their own
+EDITION_TREATISES = {
+    1771: (
+        "AGRICULTURE", "ALGEBRA", "ANATOMY", "ARCHITECTURE", "ARITHMETIC", "ASTRONOMY", "BOTANY", "BREWING", "CHEMISTRY", "CHRONOLOGY",
+        "COMMERCE", "COSMOGRAPHY", "CRITICISM", "DISTILLING", "DYEING", "ELECTRICITY", "ETHICS", "FARRIERY", "FLUXIONS",
+        "FORTIFICATION", "GEOGRAPHY", "GEOMETRY", "GRAMMAR", "HERALDRY", "HISTORY", "HYDRAULICS", "HYDROSTATICS", "LAW", "LOGIC",
+        "MAGNETISM", "MECHANICS", "MEDICINE", "METAPHYSICS", "MIDWIFERY", "MUSIC", "NAVIGATION", "OPTICS", "PAINTING", "PERSPECTIVE",
+        "PHARMACY", "PHILOSOPHY", "PHYSIOLOGY", "PNEUMATICS", "POETRY", "RHETORIC", "SCULPTURE", "SURGERY", "THEOLOGY",
+        "TRIGONOMETRY", "WAR",
+    ),
+    1815: (
+        "AGRICULTURE", "ALGEBRA", "ANATOMY", "ARCHITECTURE", "ARITHMETIC", "ASTRONOMY", "BOTANY", "CHEMISTRY", "CHRONOLOGY",
+        "CRYSTALLIZATION", "ELECTRICITY", "FLUXIONS", "GEOGRAPHY", "GEOLOGY", "GEOMETRY", "HYDRAULICS", "HYDROSTATICS", "MAGNETISM",
+        "MECHANICS", "MEDICINE", "METAPHYSICS", "MINERALOGY", "MUSIC", "NAVIGATION", "OPTICS", "PHARMACY", "PHILOSOPHY", "PHYSIOLOGY",
+        "PNEUMATICS", "SURGERY", "THEOLOGY", "TRIGONOMETRY", "BREWING", "COMMERCE", "DISTILLING", "DYEING", "FARRIERY",
+        "FORTIFICATION", "HERALDRY", "MIDWIFERY", "CRITICISM", "ETHICS", "GRAMMAR", "HISTORY", "LAW", "LOGIC", "PAINTING",
+        "PERSPECTIVE", "POETRY", "RHETORIC", "SCULPTURE", "WAR", "SCOTLAND", "ENGLAND", "IRELAND", "FRANCE", "AMERICA", "AFRICA",
+        "ASIA", "EUROPE",
+    ),
+    1842: (
+        "AGRICULTURE", "ANATOMY", "ARCHITECTURE", "ASTRONOMY", "BIOGRAPHY", "BOTANY", "CHEMISTRY", "COMMERCE", "ELECTRICITY",
+        "GEOGRAPHY", "GEOLOGY", "GEOMETRY", "GRAMMAR", "HERALDRY", "HISTORY", "LAW", "MECHANICS", "MEDICINE", "MINERALOGY", "MUSIC",
+        "NAVIGATION", "OPTICS", "PAINTING", "PHILOSOPHY", "PHYSICS", "PHYSIOLOGY", "POETRY", "RELIGION", "SCULPTURE", "SURGERY",
+        "THEOLOGY",
+    ),
+}
+#: words and patterns that editions with rules of their own don't take for headwords
+EDITION_ARTIFACTS = {
+    1771: ("PLATE", "PLATES", "FIG", "FIGURE", "FIGURES", "CONTINUED", "CONCLUSION", "ERRATA", "ERRATUM"),
+    1815: ("PLATE", "PLATES", "FIG", "FIGURE", "FIGURES", "CONTINUED", "CONCLUSION", "ERRATA", "ERRATUM", "ADDENDA", "CORRIGENDA", "ENCYCLOPAEDIA", "BRITANNICA", "INDEX"),
+    1842: ("PLATE", "PLATES", "FIG", "FIGURE", "FIGURES", "CONTINUED", "CONCLUSION", "ERRATA", "ERRATUM", "ADDENDA", "CORRIGENDA", "GENERAL INDEX", "INDEX"),
+}
+EDITION_ARTIFACT_PATTERNS = {
+    1771: (r"^PLATE\s+[IVXLCDM]+$", r"^FIG\.\s*\d+$", r"^[IVXLCDM]+\.$"),
+    1815: (r"^PLATE\s+[IVXLCDM\d]+$", r"^FIG\.\s*\d+$", r"^[IVXLCDM]+\.$", r"^PAGE\s+\d+$"),
+    1842: (r"^PLATE\s+[IVXLCDM\d]+$", r"^FIG\.\s*\d+$", r"^PAGE\s+\d+$", r"^VOL\.?\s*[IVXLCDM\d]+$"),
+}
+#: first letters of the volumes of 1771
+VOLUME_LETTERS_1771 = {1: ("A", "B"), 2: ("C", "L"), 3: ("M", "Z")}
+#: an index line with volume and page in Arabic figures
+INDEX_MAIN_ARABIC = r"^([A-Z][A-Z'\-]+(?:\s+[A-Z][A-Z'\-]+)*),\s*([^.]+)\.\s*(?:Vol\.?\s*)?(\d+):(\d+)"
+INDEX_CROSS_ARABIC = r"^([A-Z][A-Z'\-]+(?:\s+[A-Z][A-Z'\-]+)*)\.\s*See\s+([A-Z][A-Z'\-]+(?:\s+[A-Z][A-Z'\-]+)*)"
+INDEX_SUB_ARABIC = r"^\s{2,}([^,]+),\s*(?:Vol\.?\s*)?(\d+):(\d+)"
 #: year, name, number, biographies allowed, treatise length
 EDITIONS = (
     (1771, "1st", 1, False, 20000), (1778, "2nd", 2, True, 5000), (1797, "3rd", 3, True, 5000), (1810, "4th", 4, True, 5000),
@@ -81,14 +124,20 @@ FRAGMENTS = r"^(GRAPHY|OLOGY|ATION|MENT|NESS|ICAL|IOUS|EOUS|ABLE|IBLE|TURE|SION|
 FIGURE_WORDS = ("fig.", "figure", "plate", "the point", "the line")
 #: common words that the verb rule takes for headwords
 STOPWORDS = (
-    "I ME MY WE OUR YOU YOUR HE HIM HIS SHE HER IT ITS THEY THEM THEIR WHAT WHICH WHO WHOM THIS THAT THESE THOSE AM IS ARE WAS "
-    "WERE BE BEEN BEING HAVE HAS HAD DO DOES DID A AN THE AND BUT IF OR BECAUSE AS UNTIL WHILE OF AT BY FOR WITH ABOUT AGAINST "
-    "BETWEEN INTO THROUGH DURING BEFORE AFTER ABOVE BELOW TO FROM UP DOWN IN OUT ON OFF OVER UNDER AGAIN FURTHER THEN ONCE HERE "
-    "THERE WHEN WHERE WHY HOW ALL EACH FEW MORE MOST OTHER SOME SUCH NO NOR NOT ONLY OWN SAME SO THAN TOO VERY CAN WILL JUST "
-    "SHOULD NOW HENCE THUS THEREFORE HOWEVER MOREOVER FURTHERMORE NEVERTHELESS ACCORDINGLY CONSEQUENTLY MEANWHILE FORMERLY SAID "
-    "CALLED NAMED KNOWN MADE FOUND GIVEN TAKEN ONE TWO THREE FOUR FIVE SIX SEVEN EIGHT NINE TEN FIRST SECOND THIRD FOURTH FIFTH "
-    "LAST NEXT MANY MUCH SEVERAL EVERY BOTH EITHER NEITHER ANOTHER VARIOUS CERTAIN WHOLE ENTIRE HALF"
-).split()
+    "I", "ME", "MY", "MYSELF", "WE", "OUR", "OURS", "OURSELVES", "YOU", "YOUR", "YOURS", "YOURSELF", "YOURSELVES", "HE", "HIM", "HIS",
+    "HIMSELF", "SHE", "HER", "HERS", "HERSELF", "IT", "ITS", "ITSELF", "THEY", "THEM", "THEIR", "THEIRS", "THEMSELVES", "WHAT", "WHICH",
+    "WHO", "WHOM", "THIS", "THAT", "THESE", "THOSE", "AM", "IS", "ARE", "WAS", "WERE", "BE", "BEEN", "BEING", "HAVE", "HAS", "HAD",
+    "HAVING", "DO", "DOES", "DID", "DOING", "A", "AN", "THE", "AND", "BUT", "IF", "OR", "BECAUSE", "AS", "UNTIL", "WHILE", "OF", "AT",
+    "BY", "FOR", "WITH", "ABOUT", "AGAINST", "BETWEEN", "INTO", "THROUGH", "DURING", "BEFORE", "AFTER", "ABOVE", "BELOW", "TO", "FROM",
+    "UP", "DOWN", "IN", "OUT", "ON", "OFF", "OVER", "UNDER", "AGAIN", "FURTHER", "THEN", "ONCE", "HERE", "THERE", "WHEN", "WHERE", "WHY",
+    "HOW", "ALL", "EACH", "FEW", "MORE", "MOST", "OTHER", "SOME", "SUCH", "NO", "NOR", "NOT", "ONLY", "OWN", "SAME", "SO", "THAN", "TOO",
+    "VERY", "S", "T", "CAN", "WILL", "JUST", "DON", "SHOULD", "NOW", "D", "LL", "M", "O", "RE", "VE", "Y", "AIN", "AREN", "COULDN",
+    "DIDN", "DOESN", "HADN", "HASN", "HAVEN", "ISN", "MA", "MIGHTN", "MUSTN", "NEEDN", "SHAN", "SHOULDN", "WASN", "WEREN", "WON",
+    "WOULDN", "HENCE", "THUS", "THEREFORE", "HOWEVER", "MOREOVER", "FURTHERMORE", "NEVERTHELESS", "ACCORDINGLY", "CONSEQUENTLY",
+    "MEANWHILE", "FORMERLY", "SAID", "CALLED", "NAMED", "KNOWN", "MADE", "FOUND", "GIVEN", "TAKEN", "ONE", "TWO", "THREE", "FOUR",
+    "FIVE", "SIX", "SEVEN", "EIGHT", "NINE", "TEN", "FIRST", "SECOND", "THIRD", "FOURTH", "FIFTH", "LAST", "NEXT", "MANY", "MUCH",
+    "SEVERAL", "EVERY", "BOTH", "EITHER", "NEITHER", "ANOTHER", "VARIOUS", "CERTAIN", "WHOLE", "ENTIRE", "HALF",
+)
 
 # --- fixed values: sections and index lines --------------------------------
 SECTIONS = (

@@ -37,10 +37,13 @@ def is_biographical(text: Column, year: Column, profile: str) -> Column:
 
 
 def is_treatise(headword: Column, text: Column, year: Column, profile: str, marked: Column | None = None) -> Column:
-    listed = F.upper(headword).isin(list(P.TREATISES))
+    name = F.upper(headword)
+    listed = name.isin(list(P.TREATISES))
     if profile == "corpus":
         return (marked if marked is not None else F.lit(False)) | listed | (F.length(text) > 10000)
     limit = F.coalesce(*(F.when(year == y, n) for y, _, _, _, n in P.EDITIONS), F.lit(5000))
+    for year_of, names in P.EDITION_TREATISES.items():
+        listed = F.when(year == year_of, name.isin(list(names))).otherwise(listed)
     by_rule = listed | (F.length(text) > limit)
     sections = _any([has(F.left(text, F.lit(2000)), p) for p in P.TREATISE_MARKS])
     # editions with rules of their own decide by list and length alone
@@ -118,3 +121,21 @@ def boundary(before: Column, after: Column) -> Column:
         .otherwise(F.struct(F.lit("MENTION"), F.lit(0.7)))
     )
     return label.cast("struct<label:string,confidence:double>")
+
+
+def valid_in_edition(headword: Column, year: Column, volume: Column) -> Column:
+    """Why a headword isn't one of its edition (null: it is): the words,
+    patterns and volume ranges of editions that have rules of their own."""
+    name = F.upper(F.trim(headword))
+    first = F.left(name, F.lit(1))
+    reason = F.lit(None).cast("string")
+    for y, words in P.EDITION_ARTIFACTS.items():
+        known = F.when(name.isin(list(words)), F.concat(F.lit("Known OCR artifact: "), name))
+        shaped = F.when(_any([has(name, p) for p in P.EDITION_ARTIFACT_PATTERNS[y]]), "Matches OCR artifact pattern")
+        why = F.coalesce(known, shaped)
+        if y == 1771:
+            for v, (lo, hi) in P.VOLUME_LETTERS_1771.items():
+                outside = (volume == v) & ~first.between(lo, hi)
+                why = F.coalesce(why, F.when(outside, F.concat(F.lit("Headword "), name, F.lit(f" outside volume {v} range ({lo}-{hi})"))))
+        reason = F.when(year == y, why).otherwise(reason)
+    return reason

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -29,14 +31,19 @@ def new_topics(articles: DataFrame, year: int) -> DataFrame:
 def paths(spark: SparkSession, edges: DataFrame, start: DataFrame, most: int = 20) -> DataFrame:
     """(root, node, depth): everything reached from the start nodes along
     edges (src, dst), by a recursive query."""
-    edges.createOrReplaceTempView("codexlake_edges")
-    start.createOrReplaceTempView("codexlake_start")
-    return spark.sql(f"""
-        with recursive walk(root, node, depth) as (
-          select node, node, 0 from codexlake_start
-          union all
-          select w.root, e.dst, w.depth + 1 from walk w join codexlake_edges e on e.src = w.node where w.depth < {most})
-        select root, node, depth from walk where depth > 0""")
+    views = [f"codexlake_{name}_{uuid.uuid4().hex}" for name in ("edges", "start")]
+    for df, view in zip((edges, start), views, strict=True):
+        df.createOrReplaceTempView(view)
+    try:  # names are resolved here, and calls at the same time have their own
+        return spark.sql(f"""
+            with recursive walk(root, node, depth) as (
+              select node, node, 0 from {views[1]}
+              union all
+              select w.root, e.dst, w.depth + 1 from walk w join {views[0]} e on e.src = w.node where w.depth < {most})
+            select root, node, depth from walk where depth > 0""")
+    finally:
+        for view in views:
+            spark.catalog.dropTempView(view)
 
 
 def in_degree(edges: DataFrame, most: int) -> DataFrame:

@@ -32,7 +32,9 @@ def keep_first(df: DataFrame, keys: list[Column | str], order: list[Column | str
 
 
 def dedupe_articles(articles: DataFrame, order: list[Column | str]) -> DataFrame:
-    return keep_first(articles, [F.upper("headword"), "volume_num", F.left("text", F.lit(100))], order)
+    """The first of the articles of one edition and volume that share headword
+    and first 100 characters."""
+    return keep_first(articles, ["edition_year", F.upper("headword"), "volume_num", F.left("text", F.lit(100))], order)
 
 
 def senses(articles: DataFrame, order: list[Column | str]) -> DataFrame:

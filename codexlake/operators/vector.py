@@ -76,13 +76,15 @@ def filtered_search(queries: DataFrame, items: DataFrame, k: int, query_id: str,
     return knn(queries, items, k, query_id, item_id, **options).join(items.filter(where).select(item_id), item_id, "left_semi")
 
 
-def related(seed: DataFrame, items: DataFrame, k: int, query_id: str, item_id: str, parent: str, vector: str = "embedding") -> DataFrame:
-    """Parents by the mean score of their items among the 3k nearest of each
-    of the seed's, the seed's own parent left out."""
-    near = knn(seed, items, 3 * k, query_id, item_id, vector)
-    own = seed.select(F.col(parent).alias("own")).distinct()
-    scored = near.join(items.select(item_id, parent), item_id).join(own, F.col(parent) == F.col("own"), "left_anti")
-    return scored.groupBy(parent).agg(F.round(F.avg("score"), 6).alias("score"), F.count(F.lit(1)).alias("n")).orderBy(F.desc("score"), parent).limit(k)
+def related(seeds: DataFrame, items: DataFrame, k: int, query_id: str, item_id: str, parent: str, vector: str = "embedding") -> DataFrame:
+    """For each seed the k parents with the highest mean score of their items
+    among its 3k nearest, its own parent left out; ties by parent."""
+    near = knn(seeds, items, 3 * k, query_id, item_id, vector)
+    own = seeds.select(query_id, F.col(parent).alias("own"))
+    scored = near.join(items.select(item_id, parent), item_id).join(own, query_id).filter(~F.col(parent).eqNullSafe(F.col("own")))
+    g = scored.groupBy(query_id, parent).agg(F.round(F.avg("score"), 4).alias("score"), F.count(F.lit(1)).alias("n"))
+    rank = F.row_number().over(Window.partitionBy(query_id).orderBy(F.desc("score"), parent))
+    return g.withColumn("rank", rank).filter(F.col("rank") <= k)
 
 
 def best_by_parent(hits: DataFrame, items: DataFrame, query_id: str, item_id: str, parent: str) -> DataFrame:

@@ -52,8 +52,8 @@ def doc_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = spark.read.parquet(f"{sf_dir}/documents.parquet")
     hw = F.upper(F.regexp_extract("text", "^[A-Za-z]+", 0))
     year = F.element_at(F.array(*(F.lit(y) for y in YEARS)), (F.col("doc_id") % 8 + 1).cast("int"))
-    a = d.filter("lang = 'en'").select("doc_id", hw.alias("headword"), year.alias("edition_year"), (F.floor(F.col("doc_id") / 8) % 20 + 1).cast("int").alias("volume_num"), "text")
+    a = d.select("doc_id", hw.alias("headword"), year.alias("edition_year"), (F.floor(F.col("doc_id") / 8) % 20 + 1).cast("int").alias("volume_num"), "text")
     return a.withColumn("article_type", F.when(F.length("text") > 5000, "treatise").when(F.length("text") < 100, "cross_reference").otherwise("dictionary"))
 
 
-DOC_SQL = f"a as (select doc_id, upper(regexp_extract(text, '^[A-Za-z]+')) as headword, [{', '.join(map(str, YEARS))}][doc_id % 8 + 1] as edition_year, (doc_id // 8) % 20 + 1 as volume_num, text, case when length(text) > 5000 then 'treatise' when length(text) < 100 then 'cross_reference' else 'dictionary' end as article_type from documents where lang = 'en')"
+DOC_SQL = f"a as (select doc_id, upper(regexp_extract(text, '^[A-Za-z]+')) as headword, [{', '.join(map(str, YEARS))}][doc_id % 8 + 1] as edition_year, (doc_id // 8) % 20 + 1 as volume_num, text, case when length(text) > 5000 then 'treatise' when length(text) < 100 then 'cross_reference' else 'dictionary' end as article_type from documents)"

@@ -50,7 +50,7 @@ def volume_stats(spark, sf_dir):
     return stats.volume_stats(doc_articles(spark, sf_dir))
 
 
-@query(f"{WITH_A} select doc_id, headword, volume_num from a qualify row_number() over (partition by upper(headword), volume_num, left(text, 100) order by doc_id) = 1")
+@query(f"{WITH_A} select doc_id, headword, volume_num from a qualify row_number() over (partition by edition_year, upper(headword), volume_num, left(text, 100) order by doc_id) = 1")
 def article_dedupe(spark, sf_dir):
     return stats.dedupe_articles(doc_articles(spark, sf_dir), ["doc_id"]).select("doc_id", "headword", "volume_num")
 
@@ -125,9 +125,9 @@ def roman_refs(spark, sf_dir):
     return r.select("k", F.col("r.vol").alias("vol"), F.explode("r.pages").alias("page"))
 
 
-@query("select page_id, 'article-' || regexp_replace(regexp_replace(upper(url), '[^A-Z0-9]+', '_', 'g'), '^_+|_+$', '', 'g') as anchor, replace(replace(replace(replace(left(html, 300), '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '\"', '&quot;') as escaped from pages")
+@query("select page_id, 'article-' || regexp_replace(regexp_replace(upper(url), '[^A-Z0-9]+', '_', 'g'), '^_+|_+$', '', 'g') as anchor, replace(replace(replace(replace(html, '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '\"', '&quot;') as escaped from pages")
 def html_and_anchor(spark, sf_dir):
-    return read(spark, sf_dir, "pages").select("page_id", X.anchor_id("url").alias("anchor"), X.escape_html(F.left("html", F.lit(300))).alias("escaped"))
+    return read(spark, sf_dir, "pages").select("page_id", X.anchor_id("url").alias("anchor"), X.escape_html("html").alias("escaped"))
 
 
 @query(f"{WITH_A} select doc_id, cast(len(list_filter(string_split_regex(text, '\\s+'), lambda x: x <> '')) as bigint) as n_words, cast(len(string_split(left(text, 500), chr(10))) as int) as line_at_500 from a")
@@ -156,7 +156,7 @@ def classification_stats(spark, sf_dir):
     return stats.classification_stats(entries(spark, sf_dir))
 
 
-@query(r"""with c as (select doc_id, upper(regexp_extract(text, '^[A-Za-z]+')) as h, text, len(list_filter(string_split_regex(text, '\s+'), lambda x: x <> '')) as n from documents where lang = 'en')
+@query(r"""with c as (select doc_id, upper(regexp_extract(text, '^[A-Za-z]+')) as h, text, len(list_filter(string_split_regex(text, '\s+'), lambda x: x <> '')) as n from documents)
 select doc_id, h as headword from c where h <> '' and (regexp_matches(h, '^(GRAPHY|OLOGY|ATION|MENT|NESS|ICAL|IOUS|EOUS|ABLE|IBLE|TURE|SION|TION)$') or (length(h) between 3 and 5 and len(list_distinct(string_split(h, ''))) <= 3 and n < 100)
  or (length(h) <= 4 and (n < 50 or regexp_matches(lower(left(text, 200)), 'fig\.|figure|plate|the point|the line'))) or (n < 10 and not starts_with(lower(text), 'see ')) or (length(h) between 2 and 5 and len(list_distinct(list_transform(range(1, length(h) + 1), lambda i: ascii(h[i]) - i))) = 1)
  or h in ('FINIS','INDEX','ERRATA','ADDENDA','CORRIGENDA','APPENDIX','CONTENTS','PREFACE','INTRODUCTION','ADVERTISEMENT','DIRECTIONS','SUPPLEMENT','PLATES','FIGURES','TABLES','END','CONCLUSION','NOTES','REMARKS','OBSERVATIONS','POSTSCRIPT') or (length(h) > 1 and h = repeat(h[1], length(h))))""")
@@ -283,7 +283,7 @@ def _index(spark, sf_dir):
     return p.select(F.upper("p_name").alias("term"), kind.alias("entry_type"), F.when(F.col("p_partkey") % 7 == 0, F.slice(refs, 1, 0)).otherwise(refs).alias("references"))
 
 
-_FOUND = "f as (select distinct headword, edition_year as year from e where k % 3 > 0)"
+_FOUND = "f as (select distinct headword, edition_year as year from e)"
 _EXPECTED = "x as (select distinct upper(p_name) as headword, 1842 as year from part where p_partkey % 5 <> 4)"
 
 
@@ -293,13 +293,12 @@ def expected_registry(spark, sf_dir):
 
 
 def _found(spark, sf_dir):
-    return registry.found(entries(spark, sf_dir).filter("k % 3 > 0"))
+    return registry.found(entries(spark, sf_dir))
 
 
 @query(f"{WITH_E}, {_FOUND}, y as (select headword, list(year) as ys from f group by 1) select headword, 1810 as year, 0.7::double as confidence from y where list_contains(ys, 1815) and list_contains(ys, 1823) and not list_contains(ys, 1810) union all select headword, 1797 as year, 0.7::double as confidence from y where list_contains(ys, 1810) and list_contains(ys, 1815) and not list_contains(ys, 1797) union all select headword, 1778 as year, 0.7::double as confidence from y where list_contains(ys, 1797) and list_contains(ys, 1810) and not list_contains(ys, 1778) union all select headword, 1842 as year, 0.7::double as confidence from y where list_contains(ys, 1823) and list_contains(ys, 1860) and not list_contains(ys, 1842)")
 def infer_cross_edition(spark, sf_dir):
-    few = entries(spark, sf_dir).filter("k % 3 > 0")
-    return registry.infer(registry.found(few)).select("headword", "year", "confidence")
+    return registry.infer(_found(spark, sf_dir)).select("headword", "year", "confidence")
 
 
 @query(f"{WITH_E}, {_FOUND}, {_EXPECTED} select coalesce(x.year, f.year) as year, count(x.year) as expected, count(f.year) as found, count(*) filter (x.year is not null and f.year is not null) as covered, count(*) filter (f.year is null) as missing, count(*) filter (x.year is null) as extra, case when count(x.year) > 0 then round(100 * count(*) filter (x.year is not null and f.year is not null) / count(x.year), 2) end as pct from x full join f on x.headword = f.headword and x.year = f.year group by 1")
@@ -373,11 +372,11 @@ def ocr_errors(spark, sf_dir):
 
 # --- links -----------------------------------------------------------------------------------------------
 
-_TERMS = "t as (select distinct upper(regexp_extract(text, '^[A-Za-z]+')) as term from documents where lang = 'en' and doc_id % 40 = 0 and length(regexp_extract(text, '^[A-Za-z]+')) >= 4)"
+_TERMS = "t as (select distinct upper(regexp_extract(text, '^[A-Za-z]+')) as term from documents where regexp_extract(text, '^[A-Za-z]+') <> '')"
 
 
 def _terms(spark, sf_dir):
-    return doc_articles(spark, sf_dir).filter("doc_id % 40 = 0 and length(headword) >= 4").select(F.col("headword").alias("term")).distinct()
+    return doc_articles(spark, sf_dir).filter("headword <> ''").select(F.col("headword").alias("term")).distinct()
 
 
 @query(f"{WITH_A}, {_TERMS}, w as (select doc_id, list_filter(string_split_regex(upper(text), '[^\\p{{L}}\\p{{N}}''\\-]+'), lambda x: x <> '') as l from a), u as (select doc_id, unnest(l) as term, generate_subscripts(l, 1) as pos from w) select doc_id, term, cast(min(pos) as int) as pos from u where term in (select term from t) group by 1, 2")
@@ -394,12 +393,12 @@ def link_targets(spark, sf_dir):
 
 # --- vectors and evaluation ---------------------------------------------------------------------------------
 
-_SIM = "s as (select q.vec_id as query_id, i.vec_id, i.label, q.label as qlabel, round(list_cosine_similarity(q.embedding::double[], i.embedding::double[]), 6) as score from embeddings q, embeddings i where q.vec_id < 10), r as (select *, row_number() over (partition by query_id order by score desc, vec_id) as rank from s)"
+_SIM = "s as (select q.vec_id as query_id, i.vec_id, i.label, q.label as qlabel, round(list_cosine_similarity(q.embedding::double[], i.embedding::double[]), 6) as score from embeddings q, embeddings i where q.vec_id % 50 = 0), r as (select *, row_number() over (partition by query_id order by score desc, vec_id) as rank from s)"
 
 
 def _vectors(spark, sf_dir):
     v = read(spark, sf_dir, "embeddings")
-    return v.filter("vec_id < 10").withColumnRenamed("vec_id", "query_id"), v
+    return v.filter("vec_id % 50 = 0").withColumnRenamed("vec_id", "query_id"), v
 
 
 @query(f"with {_SIM} select query_id, vec_id, score, cast(rank as int) as rank from r where rank <= 10")
@@ -414,10 +413,13 @@ def knn_filtered(spark, sf_dir):
     return vector.filtered_search(q, v, 5, "query_id", "vec_id", F.col("label") == 3)
 
 
-@query(f"with {_SIM}, n as (select * from r where query_id = 0 and rank <= 15 and label <> qlabel) select label, round(avg(score), 6) as score, count(*) as n from n group by 1 order by score desc, label limit 5")
+_RELATED = "n as (select query_id, label, round(avg(score), 4) as score, count(*) as n from r where rank <= 15 and label <> qlabel group by 1, 2)"
+
+
+@query(f"with {_SIM}, {_RELATED}, k as (select *, cast(row_number() over (partition by query_id order by score desc, label) as int) as rank from n) select * from k where rank <= 5")
 def related_articles(spark, sf_dir):
     q, v = _vectors(spark, sf_dir)
-    return vector.related(q.filter("query_id = 0"), v, 5, "query_id", "vec_id", "label")
+    return vector.related(q, v, 5, "query_id", "vec_id", "label")
 
 
 @query(f"with {_SIM} select query_id, label, max(score) as score from r where rank <= 10 group by 1, 2")
@@ -428,12 +430,12 @@ def search_by_parent(spark, sf_dir):
 
 def _metrics(spark, sf_dir, k=10):
     q, v = _vectors(spark, sf_dir)
-    hits = vector.knn(q, v.filter("vec_id >= 10"), k, "query_id", "vec_id").join(v.select("vec_id", "label"), "vec_id")
+    hits = vector.knn(q, v.filter("vec_id % 50 <> 0"), k, "query_id", "vec_id").join(v.select("vec_id", "label"), "vec_id")
     expected = q.select("query_id", "label").union(q.select("query_id", ((F.col("label") + 1) % 10).cast("int").alias("label")))
     return evaluate.retrieval_metrics(hits, expected, "query_id", "label")
 
 
-_EVAL = "s as (select q.vec_id as query_id, i.vec_id, i.label, q.label as ql, round(list_cosine_similarity(q.embedding::double[], i.embedding::double[]), 6) as score from embeddings q, embeddings i where q.vec_id < 10 and i.vec_id >= 10), r as (select *, row_number() over (partition by query_id order by score desc, vec_id) as rank from s), m as (select query_id, min(case when rank <= 10 and (label = ql or label = (ql + 1) % 10) then rank end) as first_rank, count(distinct case when rank <= 5 and (label = ql or label = (ql + 1) % 10) then label end) as f5, count(distinct case when rank <= 10 and (label = ql or label = (ql + 1) % 10) then label end) as f10 from r group by 1)"
+_EVAL = "s as (select q.vec_id as query_id, i.vec_id, i.label, q.label as ql, round(list_cosine_similarity(q.embedding::double[], i.embedding::double[]), 6) as score from embeddings q, embeddings i where q.vec_id % 50 = 0 and i.vec_id % 50 <> 0), r as (select *, row_number() over (partition by query_id order by score desc, vec_id) as rank from s), m as (select query_id, min(case when rank <= 10 and (label = ql or label = (ql + 1) % 10) then rank end) as first_rank, count(distinct case when rank <= 5 and (label = ql or label = (ql + 1) % 10) then label end) as f5, count(distinct case when rank <= 10 and (label = ql or label = (ql + 1) % 10) then label end) as f10 from r group by 1)"
 
 
 @query(f"with {_EVAL} select query_id, cast(first_rank as int) as first_rank, round(coalesce(1 / first_rank, 0), 6) as reciprocal_rank, round(f5 / 2, 6) as recall_5, round(f10 / 2, 6) as recall_10 from m")

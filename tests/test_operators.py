@@ -51,7 +51,7 @@ def test_greedy_cross_reference(spark):
 def test_near_matches_compare_with_the_last_kept():
     text = "AAAA, b c d efgh\nBBBB, c d\nCCCC, d e f g h\n"
     at = [m.start() for m in re.finditer(r"^[A-Z]{4},", text, re.M)]
-    kept = [m[0] for m in segment.package_marks(text)]
+    kept = [m[0] for m in segment.marks(text, "package")]
     want = []
     for p in at:
         if not want or p - want[-1] > 20:
