@@ -41,12 +41,26 @@ def shared_root(spark: SparkSession) -> str:
     return f"file://{tempfile.gettempdir()}/codexlake-scratch"
 
 
+#: Rows and bytes of a batch that goes to a Python worker. Spark's own bounds are
+#: by rows alone or far larger, and texts may be long.
+BATCH = {"spark.sql.execution.arrow.maxRecordsPerBatch": 2000, "spark.sql.execution.arrow.maxBytesPerBatch": 16 << 20}
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """Lowers the session's Arrow batches to ``BATCH``, never raises them."""
+    for key, most in BATCH.items():
+        now = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get(key))
+        if not 0 < now <= most:
+            spark.conf.set(key, str(most))
+
+
 class Scratch:
     """Written tables that cut lineage; removed when the JVM ends, or by drop()."""
 
     def __init__(self, spark: SparkSession, name: str):
         self.spark, self.base = spark, f"{shared_root(spark).rstrip('/')}/codexlake-{name}-{uuid.uuid4().hex}"
         self.seq = 0
+        bound_batches(spark)
         path, fs = self._at(self.base)
         fs.mkdirs(path)  # deleteOnExit passes over what isn't there yet
         fs.deleteOnExit(path)

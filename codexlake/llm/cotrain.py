@@ -7,24 +7,32 @@ crawl knows of the page: host, language, length and the layout's statistics
 target (good quality; toxic), fitted on a bounded sample of labelled rows and
 calibrated on a part of it that is held back. In each round all documents are
 scored by both views; those of which a view is confident are pseudo-labels for
-the other view, as many of either class and round as ``per_round`` (picked by a
-hash among all confident ones); a view that is never confident gives none. Last, the
-calibrated views are combined by a logistic model of their two log-odds, again
-on the rows held back, and every document is scored.
+the other view, at most ``per_round`` of either class and round (picked by a
+hash among all confident ones); they add up over the rounds, and a view that is
+never confident gives none. Last, the calibrated views are combined by a
+logistic model of their two log-odds, on rows that neither fitted nor calibrated
+them, and every document is scored. Features and scores are made in slices of
+1 MB of text or 1,000 rows.
 
 Defined cases: a null text has no words, null host and language are values of
 their own; labels that are null are not used, a document labelled twice counts
-twice; without labels of both classes a target's share (or one half) is
-everyone's score; null ids are scored but never give pseudo-labels; repeated
-rows score alike; an empty table gives an empty result.
+twice, labelled rows beyond the bound are left out by the hash of their id, then
+by id; without labels of both classes a target's share (or one half) is
+everyone's score, without such rows to blend on the views count alike; ids may
+be of any type, null ids are scored but never give pseudo-labels; repeated rows
+score alike; an empty table gives an empty result; other columns aren't read; a
+very long text is held once, its tables take some 60 bytes for each of its own.
 """
 
 from __future__ import annotations
 
+from zlib import crc32
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from . import kernels as K
 from .common import Scratch, row_type, text_parts
@@ -103,12 +111,12 @@ def features_udf(text: pa.Array, host: pa.Array, lang: pa.Array) -> pa.Array:
 
 
 class Sparse:
-    """Rows of binary features."""
+    """Rows of binary features, two bytes each."""
 
     def __init__(self, rows: list[bytes]):
-        self.ids = np.frombuffer(b"".join(rows), "<u2").astype(np.int64)
-        self.cut = np.concatenate(([0], np.cumsum([len(r) // 2 for r in rows]))).astype(np.int64)
-        self.row = np.repeat(np.arange(len(rows)), np.diff(self.cut))
+        self.ids = np.frombuffer(b"".join(rows), "<u2")
+        self.cut = np.concatenate(([0], np.cumsum([len(r) // 2 for r in rows], dtype=np.int64)))
+        self.row = np.repeat(np.arange(len(rows), dtype=np.int32), np.diff(self.cut))
 
     def part(self, keep: np.ndarray) -> Sparse:
         out = Sparse([])
@@ -119,6 +127,16 @@ class Sparse:
         return np.bincount(self.row, w[self.ids], len(self.cut) - 1)
 
 
+def sums(column: pa.Array, w: np.ndarray) -> np.ndarray:
+    """The rows' sums of weights, read from a binary column's own buffers."""
+    column = column.cast(pa.large_binary()).fill_null(b"")
+    _, offs, data = column.buffers()
+    cut = (np.frombuffer(offs, np.int64)[column.offset : column.offset + len(column) + 1]) // 2
+    ids = np.frombuffer(data, "<u2") if data is not None and data.size else np.zeros(0, "<u2")
+    running = np.concatenate(([0.0], np.cumsum(w[ids[cut[0] : cut[-1]]], dtype=np.float64)))
+    return np.diff(running[cut - cut[0]])
+
+
 def sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -40, 40)))
 
@@ -176,28 +194,33 @@ def calibrated(z: np.ndarray, y: np.ndarray, ridge: float = 0.1) -> np.ndarray:
 
 
 class CoTrainer:
-    """Models of one target."""
+    """Models of one target. ``use`` tells what a labelled row is for: 0 to fit
+    the views, 1 to calibrate them, 2 to blend them."""
 
-    def __init__(self, labelled: dict[str, list[bytes]], y: np.ndarray, hold: np.ndarray):
-        self.y, self.hold = y, hold
-        self.own = labelled
+    def __init__(self, labelled: dict[str, list[bytes]], y: np.ndarray, use: np.ndarray):
+        self.y, self.use, self.own = y, use, labelled
         self.more: dict[str, tuple[list[bytes], list[float]]] = {v: ([], []) for v in VIEWS}
-        self.usable = 0 < y[~hold].sum() < (~hold).sum() and 0 < y[hold].sum() < hold.sum()
+        mixed = [0 < y[use == u].sum() < (use == u).sum() for u in range(3)]
+        self.usable, self.blends = mixed[0] and mixed[1], mixed[2]
         self.model: dict[str, tuple] = {}
-        self.blend = np.zeros(3)
+        self.blend = np.array([0.5, 0.5, 0.0])
+
+    def _rows(self, view: str, use: int) -> list[bytes]:
+        return [r for r, u in zip(self.own[view], self.use, strict=True) if u == use]
 
     def fit(self) -> None:
         if not self.usable:
             return
         logits = []
         for view, size in VIEWS.items():
-            rows = [r for r, h in zip(self.own[view], self.hold, strict=True) if not h] + self.more[view][0]
-            w, b = logistic(Sparse(rows), np.append(self.y[~self.hold], self.more[view][1]), size)
-            back = Sparse([r for r, h in zip(self.own[view], self.hold, strict=True) if h]).dot(w) + b
-            c = calibrated(back[:, None], self.y[self.hold])
-            self.model[view] = w.astype(np.float32), b, c
-            logits.append(back * c[0] + c[1])
-        self.blend = calibrated(np.column_stack(logits), self.y[self.hold])
+            rows = self._rows(view, 0) + self.more[view][0]
+            w, b = logistic(Sparse(rows), np.append(self.y[self.use == 0], self.more[view][1]), size)
+            w = w.astype(np.float32)
+            c = calibrated((Sparse(self._rows(view, 1)).dot(w) + b)[:, None], self.y[self.use == 1])
+            self.model[view] = w, b, c
+            logits.append((Sparse(self._rows(view, 2)).dot(w) + b) * c[0] + c[1])
+        if self.blends:
+            self.blend = calibrated(np.column_stack(logits), self.y[self.use == 2])
 
     def bounds(self, confident: float, odds: float = 10.0) -> tuple[float, float]:
         """Probabilities from which a view counts as confident: beyond
@@ -211,27 +234,40 @@ class CoTrainer:
         return self.usable, share, self.model, self.blend
 
 
+SLICE = 1000  # rows that are scored at a time
+
+
+def probabilities(columns: dict[str, pa.Array], models: list[tuple]) -> list[np.ndarray]:
+    """For each target the views' calibrated probabilities and the blend's."""
+    n, out = len(columns["text"]), []
+    for usable, share, model, blend in models:
+        if not usable:
+            out += [np.full(n, share)] * 3
+            continue
+        logits = []
+        for v in VIEWS:
+            w, b, c = model[v]
+            logits.append((sums(columns[v], w) + b) * c[0] + c[1])
+        out += [sigmoid(x) for x in logits] + [sigmoid(np.column_stack(logits) @ blend[:2] + blend[2])]
+    return out
+
+
 def _scorer(shared, targets: list[str]):
     names = [f"{t}_{v}" for t in targets for v in (*VIEWS, "all")]
 
     @F.arrow_udf(row_type(**dict.fromkeys(names, "double")))
     def score(text: pa.Array, meta: pa.Array) -> pa.Array:
-        rows = {"text": Sparse(text.to_pylist()), "meta": Sparse(meta.to_pylist())}
-        out = []
-        for usable, share, model, blend in shared.value:
-            if not usable:
-                out += [np.full(len(text), share)] * 3
-                continue
-            logits = []
-            for v in VIEWS:
-                w, b, c = model[v]
-                logits.append((rows[v].dot(w) + b) * c[0] + c[1])
-            out += [sigmoid(x) for x in logits] + [sigmoid(np.column_stack(logits) @ blend[:2] + blend[2])]
-        return pa.StructArray.from_arrays([pa.array(x) for x in out], names)
+        parts = [probabilities({"text": text.slice(a, SLICE), "meta": meta.slice(a, SLICE)}, shared.value) for a in range(0, len(text), SLICE)]
+        cols = [np.concatenate(x) for x in zip(*parts, strict=True)] or [np.zeros(0)] * len(names)
+        return pa.StructArray.from_arrays([pa.array(x) for x in cols], names)
 
     return score
 
 
+#: What a labelled row is for, by a hash of its id in eight parts.
+USES = (1, 0, 0, 0, 2, 0, 0, 0)
+
+
 def classify(docs: DataFrame, labels: DataFrame, scratch: Scratch, targets: tuple[str, ...] = ("quality", "toxic"), rounds: int = 2, confident: float = 0.95, per_round: int = 512, max_labelled: int = 8192, text: str = "text", host: str = "source", lang: str = "lang", doc_id: str = "doc_id") -> DataFrame:
     """doc_id and, for each target, the calibrated probabilities
     <target>_text, <target>_meta and <target>_all.
@@ -244,10 +280,12 @@ def classify(docs: DataFrame, labels: DataFrame, scratch: Scratch, targets: tupl
     rank = F.xxhash64("doc_id")
     known = labels.select(F.col("doc_id"), *(F.col(t).cast("int").alias(t) for t in targets)).dropna().orderBy(rank, "doc_id", *targets).limit(max_labelled)
     sample = rows.join(F.broadcast(known), "doc_id").orderBy(rank, "doc_id").limit(max_labelled).collect()  # at most max_labelled rows
-    hold = np.array([r["doc_id"] % 4 == 0 for r in sample], bool) if sample else np.zeros(0, bool)
+    use = np.array([USES[crc32(str(r["doc_id"]).encode()) % 8] for r in sample], np.int64)
     own = {v: [bytes(r[v]) for r in sample] for v in VIEWS}
-    trainers = {t: CoTrainer(own, np.array([float(r[t] > 0) for r in sample]), hold) for t in targets}
-    used = spark.createDataFrame([(r["doc_id"],) for r in sample], "doc_id long").distinct()
+    trainers = {t: CoTrainer(own, np.array([float(r[t] > 0) for r in sample]), use) for t in targets}
+    one_id = T.StructType([rows.schema["doc_id"]])
+    ids = lambda found: spark.createDataFrame([(i,) for i in found], one_id)
+    used = {r["doc_id"] for r in sample}
 
     def scored(frame: DataFrame) -> DataFrame:
         for t in trainers.values():
@@ -256,21 +294,21 @@ def classify(docs: DataFrame, labels: DataFrame, scratch: Scratch, targets: tupl
         return frame.select("doc_id", _scorer(shared, list(targets))("text", "meta").alias("p")).select("doc_id", "p.*")
 
     for n in range(rounds if any(t.usable for t in trainers.values()) else 0):
-        pool = scratch.put(scored(rows).filter("doc_id is not null").join(F.broadcast(used), "doc_id", "left_anti"), f"round{n}")
+        pool = scratch.put(scored(rows).filter("doc_id is not null").join(F.broadcast(ids(used)), "doc_id", "left_anti"), f"round{n}")
         picks = []
         for t in targets:
             for view, other in (("text", "meta"), ("meta", "text")):
                 low, high = trainers[t].bounds(confident)
                 for sure, value in ((F.col(f"{t}_{view}") >= high, 1.0), (F.col(f"{t}_{view}") <= low, 0.0)):
-                    picks += [(r["doc_id"], t, other, value) for r in pool.filter(sure).orderBy(F.xxhash64("doc_id", F.lit(n)), "doc_id").select("doc_id").limit(per_round).collect()]
+                    first = pool.filter(sure).orderBy(F.xxhash64("doc_id", F.lit(n)), "doc_id").select("doc_id").limit(per_round)
+                    picks += [(r["doc_id"], t, other, value) for r in first.collect()]
+        scratch.drop(pool)
         if not picks:
             break
-        chosen = spark.createDataFrame([(i,) for i in sorted({p[0] for p in picks})], "doc_id long")
-        found = {r["doc_id"]: r for r in rows.join(F.broadcast(chosen), "doc_id").dropDuplicates(["doc_id"]).collect()}
-        for t in trainers.values():
-            t.more = {v: ([], []) for v in VIEWS}
+        chosen = {p[0] for p in picks}
+        found = {r["doc_id"]: r for r in rows.join(F.broadcast(ids(chosen)), "doc_id").dropDuplicates(["doc_id"]).collect()}
+        used |= chosen
         for i, t, view, value in picks:
             trainers[t].more[view][0].append(bytes(found[i][view]))
             trainers[t].more[view][1].append(value)
-        scratch.drop(pool)
     return scored(rows)

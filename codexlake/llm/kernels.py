@@ -99,7 +99,7 @@ def word_hashes(data: np.ndarray, offs: np.ndarray, spaces: np.ndarray = SPACE,
         sums = prefix(part)
         raw, size = (sums[end] - sums[start]) * powers(len(part))[1][start], (end - start).astype(np.uint64)
         if size_open and len(start) and start[0] == 0:
-            raw[0] = raw_open + raw[0] * np.uint64(pow(BASE[0], size_open, 1 << 64))
+            raw[:1] = raw_open + raw[:1] * np.uint64(pow(BASE[0], size_open, 1 << 64))
             size[0] += np.uint64(size_open)
         elif size_open:
             raw, size = np.append(raw_open, raw), np.append(np.uint64(size_open), size)

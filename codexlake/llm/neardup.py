@@ -116,8 +116,12 @@ def signature_udf(size: int):
 def set_udf(size: int):
     @F.arrow_udf(T.ArrayType(T.LongType()))
     def full_set(text: pa.Array) -> pa.Array:
-        sets = dict(shingle_sets(text, size))
-        return pa.array([sets.get(i, np.zeros(0, np.uint64)).view(np.int64) for i in range(len(text))], pa.list_(pa.int64()))
+        sizes, sets = np.zeros(len(text) + 1, np.int32), []
+        for i, s in shingle_sets(text, size):
+            sizes[i + 1] = len(s)
+            sets.append(s)
+        values = np.concatenate(sets).view(np.int64) if sets else np.zeros(0, np.int64)
+        return pa.ListArray.from_arrays(pa.array(np.cumsum(sizes, dtype=np.int32)), pa.array(values))
 
     return full_set
 
