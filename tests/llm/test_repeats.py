@@ -27,7 +27,8 @@ def words(rng, n):
     return " ".join("".join(rng.choice("abcdeé") for _ in range(rng.randint(1, 9))) for _ in range(n))
 
 
-def test_against_every_window(spark, documents, scratch):
+@pytest.mark.parametrize("hot", [repeats.HOT, 2, 0])
+def test_against_every_window(spark, documents, scratch, hot):
     rng = random.Random(3)
     passages = [words(rng, 60) for _ in range(5)]
     texts = [None, "", "short", "a" * 500, "ab" * 300, words(rng, 100)]
@@ -38,7 +39,7 @@ def test_against_every_window(spark, documents, scratch):
         texts.append(parts[0] + p[cut:] + parts[1] + rng.choice(passages)[: rng.randint(190, 400)] + parts[2])
     texts += [texts[10], texts[10], texts[11] + "x"]
     docs = documents([(i % 60, t) for i, t in enumerate(texts)])
-    got = repeats.remove_repeats(docs, scratch).collect()
+    got = repeats.remove_repeats(docs, scratch, hot=hot).collect()
     assert sorted((r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got) == brute(texts, 200)
 
 
@@ -60,3 +61,10 @@ def test_long_text_in_pieces(spark, documents, scratch, monkeypatch):
 def test_small_tables(spark, documents, scratch, rows):
     got = repeats.remove_repeats(documents(rows), scratch).collect()
     assert len(got) == len(rows) and all(r.n_removed == 0 for r in got)
+
+
+def test_text_ids_and_clashing_columns(spark, scratch):
+    rows = [("a", "y" * 300, 1), (None, "y" * 300, 2), (None, None, 3), ("b", "z" * 150, 4)]
+    docs = spark.createDataFrame(rows, "doc_id string, text string, key int").withColumnRenamed("key", "spans")
+    got = repeats.remove_repeats(docs, scratch).collect()
+    assert sorted((r.doc_id or "", r.n_bytes, r.n_removed) for r in got) == [("", 0, 0), ("", 300, 300), ("a", 300, 300), ("b", 150, 0)]
