@@ -7,23 +7,29 @@ groups, one for 16 own words, and a group is to the model as a word is: it is
 predicted and it is a context. Within a group a word's share is its add-one
 count.
 
-With h = C1 r1 + C2 r2 of the two words before, words by frequency fall into
-classes of 1, 3, 5 ... words, so n words have about sqrt(n) classes; a word's
-probability is its class's, softmax of h . s + bs over classes, by its own,
-softmax of h . r + b over the words of its class. Both are exactly normalised
-and no table is larger than the vectors.
-
-Training: every partition of the learning texts runs minibatches in numpy from
-the same start, with noise classes shared by a minibatch and noise words from
-the word's class. Parameters are averaged: a word's vector by how often a
-partition used it, the others by words.
+With h = C1 r1 + C2 r2 of the two words before, words by frequency are the leaves
+of a tree of three levels, each node with about the cube root of their number of
+children; a word's probability is the product of three softmaxes of h . x + b, each
+over the children of one node, so that it is exactly normalised and some 200
+products score a word among 2^18. A leaf's vector is the word's own r.
+
+Training: in each round the texts of one fold (by hash) are learnt from, in
+shards of about ``shard_tokens`` tokens, so that a round moves one model for each
+shard. A shard runs minibatches in numpy from the last round's parameters: noise
+branches are shared by a minibatch, noise on the levels below comes from the
+word's siblings. Then parameters are averaged: a word's vector by how often a shard
+used it, the others by words. Vectors (never counts) depend on how Spark dealt the
+texts, as the order of minibatches does.
 
 The ``head`` most frequent words travel to the executors with their counts (a
 fixed bound, of the model's own words too); counts of rarer ones are joined,
 grouped by text.
 
 Defined cases: a null text is empty (its end alone is scored); with no learning
-text every count is 0; repeated rows are scored each; extra columns pass by.
+text every count is 0; an empty table gives an empty result; words that tie in
+count go by their bytes; repeated rows are scored each; kept columns may have any
+name; texts are scored some 2 MB at a time, and one that is longer in pieces, its
+rare words as one list.
 """
 
 from __future__ import annotations
@@ -90,26 +96,48 @@ def frequent(counts: DataFrame, head: int) -> list[tuple[bytes, int]]:
     return sorted(((bytes(r["word"]), r["c"]) for r in rows), key=lambda r: (-r[1], r[0]))
 
 
+class Level:
+    """Nodes of one level: their noise by the mass of siblings, of ``branch``
+    children each."""
+
+    def __init__(self, mass: np.ndarray, branch: int, rng, draws: int):
+        self.low = np.arange(0, len(mass), branch)
+        total = np.add.reduceat(mass, self.low)
+        self.log = (np.log(mass) - np.log(total)[np.arange(len(mass)) // branch]).astype(np.float32)
+        ends = np.cumsum(mass)
+        base, high = ends[self.low] - mass[self.low], ends[np.minimum(self.low + branch, len(mass)) - 1]
+        drawn = np.searchsorted(ends, base[:, None] + rng.random((len(self.low), draws)) * (high - base)[:, None])
+        self.drawn = np.clip(drawn, self.low[:, None], np.minimum(self.low + branch, len(mass))[:, None] - 1)
+
+
+def _near(x: np.ndarray) -> np.ndarray:
+    return 1 / (1 + np.exp(np.clip(x, -30, 30)))
+
+
 class Model:
-    """Parameters of words 0..n-1 by falling frequency, and n (before the text)."""
+    """Parameters of words 0..n-1 by falling frequency, and n (before the text):
+    words r, b; the tree's branches s1, b1 and twigs s2, b2; contexts c."""
+
+    DENSE = ("s1", "b1", "s2", "b2", "c")
 
     def __init__(self, unigram: np.ndarray, dim: int = 16, seed: int = 5):
         rng = np.random.default_rng(seed)
-        self.n, self.dim = len(unigram), dim
-        self.klass = np.sqrt(np.arange(self.n)).astype(np.int64)
-        self.low = np.arange(self.klass[-1] + 2) ** 2
-        self.low[-1] = self.n
-        mass = np.add.reduceat(unigram, self.low[:-1])
-        self.cdf, self.unigram = np.cumsum(mass), unigram
-        self.log_class = np.log(mass).astype(np.float32)
-        self.log_word = (np.log(unigram) - np.log(mass)[self.klass]).astype(np.float32)
-        self.r = rng.normal(0, 0.1, (self.n + 1, dim)).astype(np.float32)
-        self.s = rng.normal(0, 0.1, (len(mass), dim)).astype(np.float32)
+        n = self.n = len(unigram)
+        self.dim, self.branch, self.unigram = dim, 2, unigram
+        while self.branch**3 < n:
+            self.branch += 1
+        twigs = np.add.reduceat(unigram, np.arange(0, n, self.branch))
+        branches = np.add.reduceat(twigs, np.arange(0, len(twigs), self.branch))
+        self.cdf = np.cumsum(branches)
+        self.log1 = (np.log(branches) - np.log(branches.sum())).astype(np.float32)
+        vectors = lambda k: rng.normal(0, 0.1, (k, dim)).astype(np.float32)
+        self.r, self.s2, self.s1 = vectors(n + 1), vectors(len(twigs)), vectors(len(branches))
         self.c = np.stack([np.eye(dim, dtype=np.float32) * 0.5] * 2)
-        self.bs, self.b = self.log_class.copy(), np.append(self.log_word, np.float32(0))
-        self.hits = np.zeros(self.n + 1)
-
-    DENSE = ("s", "c", "bs")
+        share = lambda x, low: (np.log(x) - np.log(np.add.reduceat(x, low))[np.arange(len(x)) // self.branch]).astype(np.float32)
+        self.b1 = self.log1.copy()
+        self.b2 = share(twigs, np.arange(0, len(twigs), self.branch))
+        self.b = np.append(share(unigram, np.arange(0, n, self.branch)), np.float32(0))
+        self.twigs = twigs
 
     def dense(self) -> np.ndarray:
         return np.concatenate([getattr(self, p).ravel() for p in self.DENSE])
@@ -126,76 +154,76 @@ class Model:
         self.r, self.b = rows[:, :-1].astype(np.float32), rows[:, -1].astype(np.float32)
         return self
 
-    def noise_words(self, rng, size: int = 256) -> np.ndarray:
-        """Words drawn from each class, by frequency."""
-        ends = np.cumsum(self.unigram)
-        k = len(self.low) - 1
-        base = np.where(self.low[:-1] > 0, ends[self.low[:-1] - 1], 0.0)[:, None]
-        drawn = np.searchsorted(ends, base + rng.random((k, size)) * (ends[self.low[1:] - 1][:, None] - base))
-        return np.clip(drawn, self.low[:-1, None], self.low[1:, None] - 1)
-
-    def train(self, c1: np.ndarray, c2: np.ndarray, w: np.ndarray, rng, memory: dict, noise: int = 32, own: int = 4, rate: float = 0.08) -> None:
-        """One minibatch by AdaGrad; memory keeps the squared gradients."""
-        if not memory:
-            memory.update({p: np.zeros_like(getattr(self, p)) for p in (*self.DENSE, "r", "b")}, drawn=self.noise_words(rng), at=np.zeros(self.n + 1, np.int64))
-        near = lambda x: 1 / (1 + np.exp(np.clip(x, -30, 30)))
-        cl = self.klass[w]
-        k = np.searchsorted(self.cdf, rng.random(noise) * self.cdf[-1])
-        k = np.minimum(k, len(self.cdf) - 1)
-        v = memory["drawn"][cl[:, None], rng.integers(0, memory["drawn"].shape[1], (len(w), own))]
-        r1, r2, rw, rv, sw, sk = self.r[c1], self.r[c2], self.r[w], self.r[v], self.s[cl], self.s[k]
+    def start(self, rng, draws: int = 64) -> dict:
+        """What training keeps: squared gradients, noise, how often words were used."""
+        memory = {p: np.zeros_like(getattr(self, p)) for p in (*self.DENSE, "r", "b")}
+        return memory | {"leaf": Level(self.unigram, self.branch, rng, draws), "twig": Level(self.twigs, self.branch, rng, 4 * draws), "hits": np.zeros(self.n + 1, np.float32)}
+
+    def train(self, c1: np.ndarray, c2: np.ndarray, w: np.ndarray, rng, memory: dict, noise: int = 16, own: int = 3, rate: float = 0.08) -> None:
+        """One minibatch by noise-contrastive estimation and AdaGrad."""
+        t2 = w // self.branch
+        t1 = t2 // self.branch
+        r1, r2 = self.r[c1], self.r[c2]
         h = r1 @ self.c[0].T + r2 @ self.c[1].T
-        # classes
-        shift = np.float32(np.log(noise))
-        gt = near((h * sw).sum(1) + self.bs[cl] - self.log_class[cl] - shift)
-        gf = -near(-(h @ sk.T + (self.bs[k] - self.log_class[k] - shift)))
-        # words in their class
-        shift = np.float32(np.log(own))
-        ht = near((h * rw).sum(1) + self.b[w] - self.log_word[w] - shift)
-        hf = -near(-((rv @ h[:, :, None])[:, :, 0] + (self.b[v] - self.log_word[v] - shift)))
-        gh = gt[:, None] * sw + gf @ sk + ht[:, None] * rw + (hf[:, None, :] @ rv)[:, 0]
-        gs = _scatter(cl, gt[:, None] * h, len(self.s))
-        np.add.at(gs, k, gf.T @ h)
-        gbs = np.bincount(cl, gt, len(self.s)).astype(np.float32)
-        np.add.at(gbs, k, gf.sum(0))
-        for p, g in (("s", gs), ("c", np.stack([gh.T @ r1, gh.T @ r2])), ("bs", gbs)):
-            g = g / len(w)
-            memory[p] += g * g
-            setattr(self, p, getattr(self, p) + np.float32(rate) * g / (np.sqrt(memory[p]) + np.float32(1e-6)))
-        # only the rows in use
-        ids = np.concatenate([w, v.ravel(), c1, c2])
-        used = np.bincount(ids, minlength=self.n + 1)
-        rows = np.flatnonzero(used)
-        memory["at"][rows] = np.arange(len(rows))
-        to = memory["at"][ids]
-        self.hits[rows] += used[rows]
-        gr = _scatter(to, np.concatenate([ht[:, None] * h, (hf[:, :, None] * h[:, None, :]).reshape(-1, self.dim), gh @ self.c[0], gh @ self.c[1]]), len(rows))
-        gb = np.bincount(to[: len(w) * (own + 1)], np.concatenate([ht, hf.ravel()]), len(rows)).astype(np.float32)
-        for p, g in (("r", gr), ("b", gb)):
-            g, x = g / len(w), getattr(self, p)
-            m = memory[p][rows] + g * g
+        # branches: noise is shared
+        k = np.minimum(np.searchsorted(self.cdf, rng.random(noise) * self.cdf[-1]), len(self.cdf) - 1)
+        sk, st, shift = self.s1[k], self.s1[t1], np.float32(np.log(noise))
+        gt = _near((h * st).sum(1) + self.b1[t1] - self.log1[t1] - shift)
+        gf = -_near(-(h @ sk.T + (self.b1[k] - self.log1[k] - shift)))
+        gh = gt[:, None] * st + gf @ sk
+        grad = {"s1": _scatter(t1, gt[:, None] * h, len(self.s1)), "b1": np.bincount(t1, gt, len(self.s1)).astype(np.float32)}
+        np.add.at(grad["s1"], k, gf.T @ h)
+        np.add.at(grad["b1"], k, gf.sum(0))
+        # twigs, then leaves: noise from the target's siblings
+        shift, found = np.float32(np.log(own)), {}
+        for level, x, bias, to, parent in (("twig", self.s2, self.b2, t2, t1), ("leaf", self.r, self.b, w, t2)):
+            lv = memory[level]
+            v = lv.drawn[parent[:, None], rng.integers(0, lv.drawn.shape[1], (len(w), own))]
+            xt, xv = x[to], x[v]
+            gt = _near((h * xt).sum(1) + bias[to] - lv.log[to] - shift)
+            gf = -_near(-((xv @ h[:, :, None])[:, :, 0] + (bias[v] - lv.log[v] - shift)))
+            gh += gt[:, None] * xt + (gf[:, None, :] @ xv)[:, 0]
+            both = np.concatenate([gt, gf.ravel()])
+            found[level] = np.concatenate([to, v.ravel()]), both, np.concatenate([gt[:, None] * h, (gf[:, :, None] * h[:, None, :]).reshape(-1, self.dim)])
+        ids, g, gx = found["twig"]
+        grad |= {"s2": _scatter(ids, gx, len(self.s2)), "b2": np.bincount(ids, g, len(self.s2)).astype(np.float32), "c": np.stack([gh.T @ r1, gh.T @ r2])}
+        for p, x in grad.items():
+            x = x / len(w)
+            memory[p] += x * x
+            setattr(self, p, getattr(self, p) + np.float32(rate) * x / (np.sqrt(memory[p]) + np.float32(1e-6)))
+        # only the words in use
+        ids, g, gx = found["leaf"]
+        rows, to, used = np.unique(np.concatenate([ids, c1, c2]), return_inverse=True, return_counts=True)
+        memory["hits"][rows] += used
+        gr = _scatter(to, np.concatenate([gx, gh @ self.c[0], gh @ self.c[1]]), len(rows))
+        gb = np.bincount(to[: len(ids)], g, len(rows)).astype(np.float32)
+        for p, x in (("r", gr), ("b", gb)):
+            x, own_part = x / len(w), getattr(self, p)
+            m = memory[p][rows] + x * x
             memory[p][rows] = m
-            x[rows] += np.float32(rate) * g / (np.sqrt(m) + np.float32(1e-6))
+            own_part[rows] += np.float32(rate) * x / (np.sqrt(m) + np.float32(1e-6))
 
-    def log10(self, c1: np.ndarray, c2: np.ndarray, w: np.ndarray, part: int = 1 << 16) -> np.ndarray:
+    def log10(self, c1: np.ndarray, c2: np.ndarray, w: np.ndarray, part: int = 1 << 17) -> np.ndarray:
         return np.concatenate([self._log10(c1[a : a + part], c2[a : a + part], w[a : a + part]) for a in range(0, len(w), part)] or [np.zeros(0)])
 
     def _log10(self, c1: np.ndarray, c2: np.ndarray, w: np.ndarray) -> np.ndarray:
-        order = np.argsort(self.klass[w], kind="stable")
+        order = np.argsort(w, kind="stable")
         w = w[order]
-        cl = self.klass[w]
         h = self.r[c1[order]] @ self.c[0].T + self.r[c2[order]] @ self.c[1].T
-        got = np.empty(len(w))
-        for a in range(0, len(w), 4096):
-            got[a : a + 4096] = _log_share(h[a : a + 4096], self.s, self.bs, cl[a : a + 4096])
-        ends = np.append(np.flatnonzero(np.diff(cl)) + 1, len(w))
-        begin = 0
-        for end in ends:
-            lo, hi = self.low[cl[begin]], self.low[cl[begin] + 1]
-            for a in range(begin, end, 4096) if hi - lo > 1 else ():
-                b = min(a + 4096, end)
-                got[a:b] += _log_share(h[a:b], self.r[lo:hi], self.b[lo:hi], w[a:b] - lo)
-            begin = end
+        got = np.zeros(len(w))
+        one = np.zeros(len(w), np.int64)
+        t2 = w // self.branch
+        for x, bias, pick, parent in ((self.s1, self.b1, t2 // self.branch, one), (self.s2, self.b2, t2, t2 // self.branch), (self.r[: self.n], self.b[: self.n], w, t2)):
+            ends = np.append(np.flatnonzero(np.diff(parent)) + 1, len(w))
+            begin = 0
+            for end in ends.tolist():
+                lo = int(parent[begin]) * self.branch
+                xs, bs = x[lo : lo + self.branch], bias[lo : lo + self.branch]
+                if len(bs) > 1:
+                    for a in range(begin, end, 4096):
+                        b = min(a + 4096, end)
+                        got[a:b] += _log_share(h[a:b], xs, bs, pick[a:b] - lo)
+                begin = end
         out = np.empty(len(w))
         out[order] = got / np.log(10)
         return out
@@ -247,25 +275,46 @@ class Words:
         return out
 
 
-def fit(docs: DataFrame, text: str, words: list[bytes], places: Words, unigram: np.ndarray, dim: int, batch_words: int = 4096) -> tuple[np.ndarray, np.ndarray]:
-    """Parameters averaged over the partitions of all learning texts."""
+def fit(docs: DataFrame, text: str, words: list[bytes], places: Words, unigram: np.ndarray, dim: int, total: int, rounds: int, shard_tokens: int, batch_words: int = 4096) -> tuple[np.ndarray, np.ndarray]:
+    """Parameters after ``rounds`` rounds over disjoint parts of the texts, each
+    averaged over its shards."""
     model = Model(unigram, dim)
-    before = model.n
+    dense, rows = model.dense(), model.rows()
+    shards = max(8, -(-total // (rounds * shard_tokens)))
+    spark = docs.sparkSession
+    for n in range(rounds):
+        part = docs.filter(F.pmod(F.xxhash64(text), F.lit(rounds)) == n).select(text)
+        shared = spark.sparkContext.broadcast((words, places, unigram, dim, dense, rows))
+        for r in part.coalesce(shards).mapInArrow(_round(shared, n, batch_words), AVERAGED).groupBy("at").applyInArrow(_average, AVERAGED).toLocalIterator():
+            hits = np.frombuffer(r["n"], np.float32)
+            v = np.frombuffer(r["v"], np.float32).reshape(len(hits), -1)
+            if r["at"] < 0:
+                dense = v[0].copy()
+            else:
+                a = r["at"] * BLOCK
+                rows[a : a + BLOCK] = np.where((hits > 0)[:, None], v, rows[a : a + BLOCK])
+        shared.destroy()
+    return dense, rows
+
+
+AVERAGED = row_type(at="long", v="binary", n="binary")
 
+
+def _round(shared, number: int, batch_words: int):
     def run(batches):
-        own, rng, memory = Model(unigram, dim), np.random.default_rng(9), {}
-        ids = {w: i for i, w in enumerate(words)}
+        words, places, unigram, dim, dense, rows = shared.value
+        own, rng = Model(unigram, dim).load(dense, rows), np.random.default_rng((9, number))
+        before, memory, ids = own.n, own.start(rng), {w: i for i, w in enumerate(words)}
         seen, queue, groups, first = 0, [], [], []
 
         def flush():
             nonlocal seen, queue, groups, first
-            if not queue:
-                return
-            w = places.of(np.fromiter(queue, np.int64, len(queue)), groups)
-            c1, c2 = contexts(w, np.array(first), before)
-            for a in range(0, len(w), batch_words):
-                own.train(c1[a : a + batch_words], c2[a : a + batch_words], w[a : a + batch_words], rng, memory)
-            seen += len(w)
+            if queue:
+                w = places.of(np.fromiter(queue, np.int64, len(queue)), groups)
+                c1, c2 = contexts(w, np.array(first), before)
+                for a in range(0, len(w), batch_words):
+                    own.train(c1[a : a + batch_words], c2[a : a + batch_words], w[a : a + batch_words], rng, memory)
+                seen += len(w)
             queue, groups, first = [], [], []
 
         for batch in batches:
@@ -276,38 +325,31 @@ def fit(docs: DataFrame, text: str, words: list[bytes], places: Words, unigram:
                 queue += got
                 if -1 in got:
                     groups += [places.group(y) for y, i in zip(t, got, strict=True) if i < 0]
-                if len(queue) >= 64 * batch_words:
+                if len(queue) >= 32 * batch_words:
                     flush()
         flush()
         if seen:
-            d, rows = own.dense(), own.rows()
-            yield packed([-1], [d], [np.full(1, float(seen))])
-            at = [a for a in range(0, len(rows), BLOCK) if own.hits[a : a + BLOCK].any()]
-            yield packed([a // BLOCK for a in at], [rows[a : a + BLOCK] for a in at], [own.hits[a : a + BLOCK] for a in at])
-
-    def packed(at, v, n):
-        return pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array([x.astype(np.float32).tobytes() for x in v], pa.binary()), pa.array([x.tobytes() for x in n], pa.binary())], ["at", "v", "n"])
-
-    def average(block: pa.Table) -> pa.Table:
-        v, n = 0.0, 0.0
-        for x, m in zip(block["v"], block["n"], strict=True):
-            m = np.frombuffer(m.as_py())
-            v = v + np.frombuffer(x.as_py(), np.float32).reshape(len(m), -1) * m[:, None]
-            n = n + m
-        mean = v / np.maximum(n, 1)[:, None]
-        return pa.table({"at": block["at"][:1], "v": pa.array([mean.astype(np.float32).tobytes()], pa.binary()), "n": pa.array([n.tobytes()], pa.binary())})
-
-    kind = row_type(at="long", v="binary", n="binary")
-    dense, rows = model.dense(), model.rows()
-    for r in docs.select(text).mapInArrow(run, kind).groupBy("at").applyInArrow(average, kind).toLocalIterator():
-        n = np.frombuffer(r["n"])
-        v = np.frombuffer(r["v"], np.float32).reshape(len(n), -1)
-        if r["at"] < 0:
-            dense = v[0]
-        else:
-            a = r["at"] * BLOCK
-            rows[a : a + BLOCK] = np.where((n > 0)[:, None], v, rows[a : a + BLOCK])
-    return dense, rows
+            found, hits = own.rows(), memory["hits"]
+            yield _packed([-1], [own.dense()], [np.full(1, seen, np.float32)])
+            at = [a for a in range(0, len(found), BLOCK) if hits[a : a + BLOCK].any()]
+            yield _packed([a // BLOCK for a in at], [found[a : a + BLOCK] for a in at], [hits[a : a + BLOCK] for a in at])
+
+    return run
+
+
+def _packed(at: list[int], v: list[np.ndarray], n: list[np.ndarray]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array([x.astype(np.float32).tobytes() for x in v], pa.binary()), pa.array([x.tobytes() for x in n], pa.binary())], AVERAGED.names)
+
+
+def _average(block: pa.Table) -> pa.Table:
+    """One block of rows from all shards, by how often they used them."""
+    v, n = 0.0, 0.0
+    for x, m in zip(block["v"], block["n"], strict=True):
+        m = np.frombuffer(m.as_py(), np.float32).astype(np.float64)
+        v = v + np.frombuffer(x.as_py(), np.float32).reshape(len(m), -1) * m[:, None]
+        n = n + m
+    mean = v / np.maximum(n, 1)[:, None]
+    return pa.Table.from_batches([_packed([block["at"][0].as_py()], [mean], [n.astype(np.float32)])])
 
 
 _loaded: dict[str, tuple[dict, Words, Model, np.ndarray, np.ndarray]] = {}
@@ -351,8 +393,8 @@ def scorer(shared):
     def score(text: pa.Array) -> pa.Array:
         held = _open(name, shared)
         out = []
-        for a in range(0, len(text), 500):
-            *cols, rare = part(_bytes(text.slice(a, 500)), *held)
+        for a in range(0, len(text), 250):
+            *cols, rare = part(_bytes(text.slice(a, 250)), *held)
             lists = [pa.array([list(r) for r in rare], pa.list_(pa.binary())), pa.array([list(r.values()) for r in rare], pa.list_(pa.int64()))]
             out.append(pa.StructArray.from_arrays([*(pa.array(c) for c in cols), *lists], SCORED.names))
         return pa.concat_arrays(out) if out else pa.array([], pa.struct([]))
@@ -360,7 +402,7 @@ def scorer(shared):
     return score
 
 
-def score_texts(docs: DataFrame, learning: Column, scratch: Scratch, keep: list[Column], text: str = "text", vocabulary: int | None = None, head: int = 1 << 18, dim: int = 16, least: int = 32) -> DataFrame:
+def score_texts(docs: DataFrame, learning: Column, scratch: Scratch, keep: list[Column], text: str = "text", vocabulary: int | None = None, head: int = 1 << 18, dim: int = 16, least: int = 32, rounds: int = 2, shard_tokens: int = 20_000_000) -> DataFrame:
     """The columns ``keep`` with n_tokens, n_known, train_tokens, base_score
     and score for each row of docs; the model learns from rows of ``learning``.
     ``vocabulary`` sets the number of the model's own words, if not by ``least``."""
@@ -384,17 +426,16 @@ def score_texts(docs: DataFrame, learning: Column, scratch: Scratch, keep: list[
     places = Words(words, own, mass)
     unigram = mass[places.order] / (n + groups)
     shares = np.append(np.zeros(own), np.log10(n_group + v_group + 1.0))[places.order]
-    vectors = fit(train, text, words, places, unigram, dim)
+    vectors = fit(train, text, words, places, unigram, dim, n, rounds, shard_tokens)
     shared = spark.sparkContext.broadcast((words, c, places, unigram, vectors, shares, dim))
-    scored = docs.select(*keep, scorer(shared)(F.col(text)).alias("s"), F.monotonically_increasing_id().alias("__row"))
-    scored = scratch.put(scored, "scored")
-    pairs = scored.select("__row", F.explode(F.arrays_zip(F.col("s.words").alias("w"), F.col("s.counts").alias("k"))).alias("x")).select("__row", F.col("x.w").alias("word"), F.col("x.k").alias("k"))
-    rare = pairs.join(counts, "word").groupBy("__row").agg(F.sum("k").alias("rare_known"), F.sum(F.col("k") * F.log10(F.col("c") + 1)).alias("rare_log"))
-    out = scored.join(rare, "__row", "left")
+    held = docs.select(F.struct(*keep).alias("keep"), scorer(shared)(F.col(text)).alias("s"), F.monotonically_increasing_id().alias("row"))
+    scored = scratch.put(held, "scored")
+    pairs = scored.select("row", F.explode(F.arrays_zip(F.col("s.words").alias("w"), F.col("s.counts").alias("k"))).alias("x")).select("row", F.col("x.w").alias("word"), F.col("x.k").alias("k"))
+    rare = pairs.join(counts, "word").groupBy("row").agg(F.sum("k").alias("rare_known"), F.sum(F.col("k") * F.log10(F.col("c") + 1)).alias("rare_log"))
+    out = scored.join(rare, "row", "left")
     extra = F.coalesce("rare_log", F.lit(0.0))
-    names = [f for f in scored.columns if f not in ("s", "__row")]
     return out.select(
-        *names,
+        "keep.*",
         F.col("s.n_tokens").alias("n_tokens"),
         (F.col("s.known") + F.coalesce("rare_known", F.lit(0))).alias("n_known"),
         F.lit(n).cast("long").alias("train_tokens"),

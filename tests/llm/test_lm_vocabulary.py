@@ -23,12 +23,43 @@ def test_order_of_words_beyond_the_first_thousand_counts(spark, documents, scrat
         assert abs(got[a].score - got[b].score) > 1e-6
 
 
-def test_classes_hold_all_words_and_are_normalised():
+def test_tree_holds_all_words_and_is_normalised():
     rng = np.random.default_rng(2)
-    for n in (1, 2, 4, 5, 77):
+    for n in (1, 2, 4, 5, 77, 1000):
         u = np.sort(rng.random(n))[::-1]
         m = lm.Model(u / u.sum(), dim=4)
         m.r = rng.normal(0, 1, m.r.shape).astype(np.float32)
-        m.s = rng.normal(0, 1, m.s.shape).astype(np.float32)
+        m.s1, m.s2 = (rng.normal(0, 1, x.shape).astype(np.float32) for x in (m.s1, m.s2))
         p = 10 ** m.log10(np.full(n, n), np.full(n, n - 1), np.arange(n))
         assert abs(p.sum() - 1) < 1e-5
+
+
+def test_score_of_a_text_by_brute_force():
+    """Products of softmaxes along the tree, one word after the other."""
+    rng = np.random.default_rng(4)
+    u = np.sort(rng.random(60))[::-1]
+    m = lm.Model(u / u.sum(), dim=4)
+    for p in ("r", "s1", "s2", "b", "b1", "b2", "c"):
+        setattr(m, p, rng.normal(0, 1, getattr(m, p).shape).astype(np.float32))
+    w = rng.integers(0, 60, 200)
+    c1, c2 = lm.contexts(w, np.array([0, 70]), m.n)
+
+    def softmax(h, x, b, low):
+        z = x[low : low + m.branch] @ h + b[low : low + m.branch]
+        return np.exp(z - z.max()) / np.exp(z - z.max()).sum()
+
+    want = []
+    for a, b, x in zip(c1, c2, w):
+        h = m.c[0] @ m.r[a] + m.c[1] @ m.r[b]
+        twig = x // m.branch
+        branch = twig // m.branch
+        p = softmax(h, m.s1, m.b1, 0)[branch] * softmax(h, m.s2, m.b2, branch * m.branch)[twig % m.branch] * softmax(h, m.r[: m.n], m.b[: m.n], twig * m.branch)[x % m.branch]
+        want.append(np.log10(p))
+    assert np.allclose(m.log10(c1, c2, w), want, atol=1e-4)
+
+
+def test_empty_table_and_kept_columns_of_any_name(spark, documents, scratch):
+    docs = documents([(1, "a b"), (2, None), (3, "")]).withColumnRenamed("source", "s").withColumnRenamed("lang", "row")
+    got = lm.score_texts(docs, F.lit(True), scratch, [F.col("doc_id"), F.col("s"), F.col("row")])
+    assert got.columns[:3] == ["doc_id", "s", "row"] and sorted((r.doc_id, r.n_tokens) for r in got.collect()) == [(1, 3), (2, 1), (3, 1)]
+    assert lm.score_texts(documents([]), F.lit(True), scratch, [F.col("doc_id")]).collect() == []
