@@ -156,11 +156,15 @@ class Model:
 
     def start(self, rng, draws: int = 64) -> dict:
         """What training keeps: squared gradients, noise, how often words were used."""
-        memory = {p: np.zeros_like(getattr(self, p)) for p in (*self.DENSE, "r", "b")}
-        return memory | {"leaf": Level(self.unigram, self.branch, rng, draws), "twig": Level(self.twigs, self.branch, rng, 4 * draws), "hits": np.zeros(self.n + 1, np.float32)}
-
-    def train(self, c1: np.ndarray, c2: np.ndarray, w: np.ndarray, rng, memory: dict, noise: int = 16, own: int = 3, rate: float = 0.08) -> None:
-        """One minibatch by noise-contrastive estimation and AdaGrad."""
+        memory = {p: np.ones_like(getattr(self, p)) for p in (*self.DENSE, "r", "b")}
+        return memory | {"leaf": Level(self.unigram, self.branch, rng, draws), "twig": Level(self.twigs, self.branch, rng, 4 * draws), "hits": np.zeros(self.n + 1, np.float32), "steps": 0}
+
+    def train(self, c1: np.ndarray, c2: np.ndarray, w: np.ndarray, rng, memory: dict, noise: int = 16, own: int = 3, rate: float = 0.03, half: int = 100) -> None:
+        """One minibatch by noise-contrastive estimation and AdaGrad, whose sums
+        start at 1, so that what is seen once moves little; the rate has halved
+        after ``half`` minibatches, as late noise would undo what was learnt."""
+        rate = np.float32(rate / (1 + memory["steps"] / half))
+        memory["steps"] += 1
         t2 = w // self.branch
         t1 = t2 // self.branch
         r1, r2 = self.r[c1], self.r[c2]
@@ -188,9 +192,8 @@ class Model:
         ids, g, gx = found["twig"]
         grad |= {"s2": _scatter(ids, gx, len(self.s2)), "b2": np.bincount(ids, g, len(self.s2)).astype(np.float32), "c": np.stack([gh.T @ r1, gh.T @ r2])}
         for p, x in grad.items():
-            x = x / len(w)
             memory[p] += x * x
-            setattr(self, p, getattr(self, p) + np.float32(rate) * x / (np.sqrt(memory[p]) + np.float32(1e-6)))
+            setattr(self, p, getattr(self, p) + rate * x / np.sqrt(memory[p]))
         # only the words in use
         ids, g, gx = found["leaf"]
         rows, to, used = np.unique(np.concatenate([ids, c1, c2]), return_inverse=True, return_counts=True)
@@ -198,10 +201,9 @@ class Model:
         gr = _scatter(to, np.concatenate([gx, gh @ self.c[0], gh @ self.c[1]]), len(rows))
         gb = np.bincount(to[: len(ids)], g, len(rows)).astype(np.float32)
         for p, x in (("r", gr), ("b", gb)):
-            x, own_part = x / len(w), getattr(self, p)
             m = memory[p][rows] + x * x
             memory[p][rows] = m
-            own_part[rows] += np.float32(rate) * x / (np.sqrt(m) + np.float32(1e-6))
+            getattr(self, p)[rows] += rate * x / np.sqrt(m)
 
     def log10(self, c1: np.ndarray, c2: np.ndarray, w: np.ndarray, part: int = 1 << 17) -> np.ndarray:
         return np.concatenate([self._log10(c1[a : a + part], c2[a : a + part], w[a : a + part]) for a in range(0, len(w), part)] or [np.zeros(0)])
