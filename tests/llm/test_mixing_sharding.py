@@ -103,3 +103,56 @@ def test_tree_against_sorting(spark, documents, scratch):
     dims = {"d": F.col("doc_id")}
     got = sharding.kd_shards(documents(data), scratch, shards=8, tolerance=0.0, dims=dims).orderBy("doc_id").collect()
     assert [r.shard for r in got] == sorted(r.shard for r in got)
+
+
+def test_repeated_rows_are_parted_one_by_one(spark, documents, scratch):
+    """Half of the table is one row."""
+    data = [(7, "the same text.", "en", "a")] * 240 + [(i, None, "fr", "b") for i in range(240)]
+    got = sharding.kd_shards(documents(data), scratch, shards=6, block_rows=20).collect()
+    size, slots = defaultdict(int), defaultdict(list)
+    for r in got:
+        size[r.shard] += r.size
+        slots[r.shard].append(r.slot)
+    assert len(got) == 480 and set(size) == set(range(6))
+    assert max(size.values()) - min(size.values()) <= 22
+    assert all(sorted(s) == list(range(len(s))) for s in slots.values())
+
+
+def brute_tree(rows, dims, shards):
+    """rows: dicts with size, tie and the dims; the shard of each doc_id."""
+    whole = {d: max(1, max(r[d] for r in rows) - min(r[d] for r in rows)) for d in dims}
+    out = {}
+
+    def part(node, first, k):
+        if k == 1 or not node:
+            out.update((r["doc_id"], first) for r in node)
+            return
+        dim = max(dims, key=lambda d: (max(r[d] for r in node) - min(r[d] for r in node)) / whole[d])
+        node = sorted(node, key=lambda r: (r[dim], r["tie"]))
+        goal, before, cut = sum(r["size"] for r in node) * (k // 2) / k, 0, len(node)
+        for i, r in enumerate(node):
+            if before + r["size"] > goal:
+                cut = i + (before + r["size"] - goal < goal - before)
+                break
+            before += r["size"]
+        part(node[:cut], first, k // 2)
+        part(node[cut:], first + k // 2, k - k // 2)
+
+    part(rows, 0, shards)
+    return out
+
+
+def test_splits_against_brute_force(spark, documents, scratch):
+    rng = random.Random(9)
+    hosts = ["https://a.org", "https://b.org", "www.c.net", None]
+    langs = ["en", "fr", None]
+    data = [(i, "x" * rng.randint(0, 60), rng.choice(langs), rng.choice(hosts)) for i in range(600)]
+    docs = documents(data)
+    got = {r.doc_id: r.shard for r in sharding.kd_shards(docs, scratch, shards=7, tolerance=0.0).collect()}
+    crc = F.crc32(F.coalesce("text", F.lit("")).cast("binary"))
+    tie = F.pmod(F.xxhash64(F.col("doc_id").cast("string"), crc), F.lit(sharding.UNIT))
+    rows = [r.asDict() for r in docs.select("doc_id", tie.alias("tie"), sharding.log_size(F.length("text")).alias("length"), "lang", "source", (F.length("text") + 8).alias("size")).collect()]
+    order = lambda x: {v: i + 1 for i, v in enumerate(sorted(v for v in x if v))} | {None: 0}
+    for r in rows:
+        r |= {"lang": order(langs)[r["lang"]], "source": order(hosts)[r["source"]]}
+    assert got == brute_tree(rows, ["length", "source", "lang"], 7)
