@@ -63,6 +63,8 @@ def _take(rows: DataFrame) -> DataFrame:
     ``room`` (each row carries its source's), and takes their words off it."""
     fits = F.col("open") & (F.col("size") <= F.col("room"))
     rows = rows.withColumn("mass", F.when(fits, F.col("size")).otherwise(0))
+    # dealt by source alone, as a join may have left them, a hot source is one task
+    rows = rows.repartition("skey", "bin")
     hist = rows.groupBy("skey", "bin").agg(F.sum("mass").alias("bin_mass"))
     run = F.sum("bin_mass").over(Window.partitionBy("skey").orderBy("bin"))
     hist = hist.select("skey", "bin", (run - F.col("bin_mass")).alias("before"))
@@ -100,7 +102,9 @@ def mix(docs: DataFrame, scratch: Scratch, weights: tuple[int, ...] = (1, 2, 3),
     p = F.col("mean") - F.col("whole")
     u = unit_hash(F.col("doc_id"), seed)
     odds = F.when(p > 0, u / (1 - u) * ((1 - p) / p))
-    rows = rows.withColumn("rank", odds).withColumn("open", F.col("rank").isNotNull()).withColumn("bin", F.coalesce(F.floor(F.col("rank") / (1 + F.col("rank")) * BINS), F.lit(BINS)).cast("int"))
+    # rows that aren't sampled take part in no sum; their bins only spread them
+    place = F.coalesce(F.floor(odds / (1 + odds) * BINS), BINS + F.floor(u * BINS))
+    rows = rows.withColumn("rank", odds).withColumn("open", F.col("rank").isNotNull()).withColumn("bin", place.cast("int"))
     certain = rows.groupBy("skey").agg(F.sum(F.col("whole") * F.col("size")).alias("certain"))
     rows = rows.join(certain, "skey").withColumn("room", F.col("target") - F.col("certain")).withColumn("picked", F.lit(False)).drop("certain", "mean", "imp", "imp_size")
     for n in range(PASSES):
