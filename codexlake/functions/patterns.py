@@ -170,5 +170,23 @@ ROMAN_HEADWORDS = (
 RUNNING_HEADS = ("PLATE", "VOLUME", "VOL", "CHAPTER", "PART", "PAGE")
 
 
+# --- fixed values: headers, candidates, further references ------------------
+#: editions by ordinal, then by year; both in the order in which they are tried
+HEADER_EDITIONS = (
+    (r"FIRST\s+EDITION", 1771), (r"SECOND\s+EDITION", 1778), (r"THIRD\s+EDITION", 1797), (r"FOURTH\s+EDITION", 1810),
+    (r"FIFTH\s+EDITION", 1815), (r"SIXTH\s+EDITION", 1823), (r"SEVENTH\s+EDITION", 1842), (r"EIGHTH\s+EDITION", 1860),
+    (r"\b1771\b", 1771), (r"\b1778\b", 1778), (r"\b1797\b", 1797), (r"\b1810\b", 1810), (r"\b1815\b", 1815), (r"\b1823\b", 1823),
+    (r"M\.?D\.?C\.?C\.?C\.?X\.?L\.?I\.?I", 1842), (r"\b1842\b", 1842), (r"MDCCCLX\b", 1860), (r"\b1860\b", 1860),
+)
+HEADER_VOLUME = r"VOL(?:UME)?\.?\s*([IVXLCDM]+|\d+)"
+HEADER_RANGES = (r",\s*([A-Z](?:[A-Z]*)?)\s*[-–—]\s*([A-Z][A-Za-z]*)", r"([A-Z]{1,3})\s*[-–—]\s*([A-Z][A-Za-z]{2,})")
+CANDIDATES = {
+    "capitals": r"(?:^|\n\n?)([A-Z][A-Z\s\-'\.]+?),\s+[a-z]",
+    "title": r"(?:^|\n\n?)([A-Z][a-z]+(?:\s+[A-Z][a-z]+)*),\s+[a-z]",
+    "any": r"(?:^|\n\n?)([A-Za-z][A-Za-z\s\-'\.]+?),\s+[a-z]",
+}
+FURTHER_REFERENCES = (r"\bVid\.\s+([A-Z][A-Za-z'\-]+)", r"\b([A-Z][A-Za-z'\-]+),?\s+q\.\s?v\.", r"\b([A-Z][A-Za-z'\-]+),?\s+which\s+see\b")
+
+
 def java(pattern: str, ignore_case: bool = False) -> str:
     return ("(?iuUmd)" if ignore_case else "(?Umd)") + pattern

@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from .patterns import (
-    BORN, CHUNK_TITLES, CROSS_REFERENCES, DATES, DIED, EDITION_PHRASES, EDITIONS, INDEX_CROSS, INDEX_MAIN, INDEX_REFERENCE, INDEX_SEE, INDEX_SKIP, LAT_LONG, LONG_LAT, STRUCTURAL, FRONT_MATTER_TEXT, java,
+    BORN, CHUNK_TITLES, FURTHER_REFERENCES, HEADER_EDITIONS, HEADER_RANGES, HEADER_VOLUME, INDEX_CROSS_ARABIC, INDEX_MAIN_ARABIC, INDEX_SUB_ARABIC, CROSS_REFERENCES, DATES, DIED, EDITION_PHRASES, EDITIONS, INDEX_CROSS, INDEX_MAIN, INDEX_REFERENCE, INDEX_SEE, INDEX_SKIP, LAT_LONG, LONG_LAT, STRUCTURAL, FRONT_MATTER_TEXT, java,
 )
 
 
@@ -178,3 +178,64 @@ def modern_spelling(text: Column | str) -> Column:
 
 def markdown(headword: Column, year: Column, body: Column) -> Column:
     return F.concat(F.lit("# "), headword, F.lit("\n\n*Edition: "), year.cast("string"), F.lit("*\n\n"), body, F.lit("\n"))
+
+
+def edition_of_header(text: Column | str) -> Column:
+    """Edition year by the head of a text: ordinals first, then years."""
+    head = F.upper(F.left(_c(text), F.lit(2000)))
+    return F.coalesce(*(F.when(has(head, p), year) for p, year in HEADER_EDITIONS))
+
+
+def volume_of_header(text: Column | str) -> Column:
+    """(volume, letters): the first volume number, Arabic or Roman, in the first
+    2,000 characters and the first range of letters, three each, in 500."""
+    found = group(F.left(_c(text), F.lit(2000)), HEADER_VOLUME, 1, True)
+    volume = F.coalesce(found.try_cast("int"), roman_to_int(F.upper(found)))
+    head = F.left(_c(text), F.lit(500))
+    part = lambda p, n: F.left(group(head, p, n), F.lit(3))
+    letters = F.coalesce(*(F.concat(part(p, 1), F.lit("-"), part(p, 2)) for p in HEADER_RANGES))
+    return F.struct(volume.alias("volume"), letters.alias("letters"))
+
+
+def index_entry_arabic(line: Column | str) -> Column:
+    """An index line with volume:page in figures: entry_type, term, subtopic,
+    volume, page, see_also; null if it is none. Indented lines are entries below
+    a term."""
+    raw = _c(line)
+    t = F.trim(raw)
+
+    def entry(kind: str, when: Column, **fields: Column) -> Column:
+        names = ("term", "subtopic", "see_also")
+        cols = [fields.get(n, F.lit(None)).cast("string").alias(n) for n in names]
+        figures = [fields.get(n, F.lit(None)).cast("int").alias(n) for n in ("volume", "page")]
+        return F.when(when, F.struct(F.lit(kind).alias("entry_type"), *cols, *figures))
+
+    main = lambda n: group(t, INDEX_MAIN_ARABIC, n)
+    cross = lambda n: group(t, INDEX_CROSS_ARABIC, n, True)
+    sub = lambda n: group(raw, INDEX_SUB_ARABIC, n)
+    return F.coalesce(
+        entry("main", main(1).isNotNull(), term=F.upper(main(1)), subtopic=F.trim(main(2)), volume=main(3), page=main(4)),
+        entry("cross_ref", cross(1).isNotNull(), term=F.upper(cross(1)), see_also=F.upper(cross(2))),
+        entry("sub", sub(1).isNotNull(), subtopic=F.trim(sub(1)), volume=sub(2), page=sub(3)),
+    )
+
+
+def tolerant_position(text: Column | str, phrase: Column | str, words: int = 5) -> Column:
+    """0-based place of the longest run of the phrase's first words, at most
+    five, that the text holds; -1 if it holds none."""
+    parts = F.slice(F.filter(F.split(F.lower(_c(phrase)), r"\s+"), lambda w: w != ""), 1, words)
+    low = F.lower(_c(text))
+    found = [F.when(F.size(parts) >= n, F.nullif(F.position(F.array_join(F.slice(parts, 1, n), " "), low), F.lit(0))) for n in range(words, 0, -1)]
+    return F.coalesce(*found, F.lit(0)) - 1
+
+
+def preview(text: Column | str, most: int = 200) -> Column:
+    """The first characters, with an ellipsis if there are more."""
+    t = _c(text)
+    return F.when(F.length(t) > most, F.concat(F.left(t, F.lit(most)), F.lit("..."))).otherwise(t)
+
+
+def further_references(text: Column | str) -> Column:
+    """Sorted distinct targets of Vid., q.v. and which see."""
+    found = [F.regexp_extract_all(_c(text), F.lit(java(p)), 1) for p in FURTHER_REFERENCES]
+    return F.array_sort(F.array_distinct(F.transform(F.concat(*found), F.upper)))

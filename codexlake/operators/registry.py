@@ -56,3 +56,33 @@ def merge_recovered(articles: DataFrame, recovered: DataFrame) -> DataFrame:
     """Adds recovered articles whose headword is absent; keeps all senses."""
     new = recovered.join(articles.select(F.upper("headword").alias("u")).distinct(), F.upper("headword") == F.col("u"), "left_anti")
     return articles.unionByName(new, allowMissingColumns=True)
+
+
+def register_variations(known: DataFrame, new: DataFrame) -> DataFrame:
+    """Known variations with new ones (variant, canonical) added, once each, in
+    the headwords' normal form; a form isn't a variation of itself."""
+    both = known.select("variant", "canonical").unionByName(new.select("variant", "canonical"))
+    normal = both.select(normalize_headword("variant").alias("variant"), normalize_headword("canonical").alias("canonical"))
+    return normal.filter("variant <> canonical").distinct()
+
+
+def build(index: DataFrame, index_year: int, articles: DataFrame) -> DataFrame:
+    """The whole registry: a row for each headword with the editions where it is
+    expected (index, or all source editions have it) and found, confidence (the
+    highest) and source (of that)."""
+    expected = expected_from_index(index, index_year).select("headword", "year", "confidence", "source")
+    facts = found(articles)
+    implied = infer(facts).select("headword", "year", "confidence", "source")
+    both = expected.unionByName(implied)
+    e = both.groupBy("headword").agg(F.array_sort(F.collect_set("year")).alias("editions_expected"), F.max("confidence").alias("confidence"), F.max_by("source", F.struct("confidence", "source")).alias("source"))
+    f = facts.groupBy("headword").agg(F.array_sort(F.collect_set("year")).alias("editions_found"))
+    none = F.array().cast("array<int>")
+    out = e.join(f, "headword", "full")
+    return out.select("headword", F.coalesce("editions_expected", none).alias("editions_expected"), F.coalesce("editions_found", none).alias("editions_found"), F.coalesce("confidence", F.lit(0.95)).alias("confidence"), F.coalesce("source", F.lit("found")).alias("source"))
+
+
+def recovery_report(expected: DataFrame, before: DataFrame, after: DataFrame) -> DataFrame:
+    """Coverage of each edition before and after recovery, and the gain."""
+    side = lambda facts, name: coverage(expected, facts).select("year", "expected", F.col("covered").alias(name), F.col("pct").alias(f"pct_{name}"))
+    b, a = side(before, "before"), side(after, "after").drop("expected")
+    return b.join(a, "year").withColumn("recovered", F.col("after") - F.col("before")).filter("expected > 0")

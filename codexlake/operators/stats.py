@@ -57,3 +57,34 @@ def length_strata(df: DataFrame, within: str, key: str, ends: int, middle: int)
 
 def first_words(text: Column, n: int) -> Column:
     return F.array_join(F.slice(F.split(text, r"\s+"), 1, n), " ")
+
+
+def chunks_per_article(chunks: DataFrame) -> DataFrame:
+    """Chunks of each (headword, year)."""
+    return chunks.groupBy("parent_headword", "edition_year").agg(F.count(F.lit(1)).alias("n_chunks"))
+
+
+def processing_totals(articles: DataFrame, sections: DataFrame, chunks: DataFrame) -> DataFrame:
+    """Volumes, articles, treatises, sections, chunks and words of each edition;
+    sections and chunks carry edition_year."""
+    a = articles.groupBy("edition_year").agg(F.count_distinct("volume_num").alias("volumes"), F.count(F.lit(1)).alias("articles"), F.count_if(F.col("article_type") == "treatise").alias("treatises"), F.sum("word_count").alias("words"))
+    for name, df in (("sections", sections), ("chunks", chunks)):
+        a = a.join(df.groupBy("edition_year").agg(F.count(F.lit(1)).alias(name)), "edition_year", "left").fillna(0, [name])
+    return a
+
+
+def volume_lists(articles: DataFrame, most: int = 1000) -> DataFrame:
+    """The first ``most`` headwords of each volume, in order, and their number:
+    a page's table of contents; lists are cut before they are gathered."""
+    w = Window.partitionBy("edition_year", "volume_num").orderBy(F.upper("headword"), "char_start")
+    top = articles.withColumn("__r", F.row_number().over(w)).filter(F.col("__r") <= most)
+    lists = top.groupBy("edition_year", "volume_num").agg(F.transform(F.array_sort(F.collect_list(F.struct("__r", "headword"))), lambda x: x["headword"]).alias("headwords"))
+    return lists.join(articles.groupBy("edition_year", "volume_num").agg(F.count(F.lit(1)).alias("n")), ["edition_year", "volume_num"])
+
+
+def first_distinct(df: DataFrame, by: list[str], value: str, most: int = 5) -> DataFrame:
+    """The first ``most`` distinct values of each group, sorted; the group is
+    cut before it is gathered."""
+    rank = F.row_number().over(Window.partitionBy(*by).orderBy(value))
+    few = df.select(*by, value).dropna(subset=[value]).distinct().withColumn("__r", rank).filter(F.col("__r") <= most)
+    return few.groupBy(*by).agg(F.array_sort(F.collect_list(value)).alias("values"))

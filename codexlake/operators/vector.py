@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -89,3 +91,36 @@ def related(seeds: DataFrame, items: DataFrame, k: int, query_id: str, item_id:
 
 def best_by_parent(hits: DataFrame, items: DataFrame, query_id: str, item_id: str, parent: str) -> DataFrame:
     return hits.join(items.select(item_id, parent), item_id).groupBy(query_id, parent).agg(F.max("score").alias("score"))
+
+
+def either_search(a: DataFrame, b: DataFrame, query_id: str, item_id: str) -> DataFrame:
+    """Union of two searches' hits, each item once with its better score."""
+    both = a.select(query_id, item_id, "score").unionByName(b.select(query_id, item_id, "score"))
+    return both.groupBy(query_id, item_id).agg(F.max("score").alias("score"))
+
+
+def text_index(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
+    """Inverted index: (token, key, n), lower-case runs of letters and digits."""
+    tokens = F.filter(F.split(F.lower(text), r"[^\p{L}\p{N}]+"), lambda w: w != "")
+    return docs.select(F.col(key), F.explode(tokens).alias("token")).groupBy("token", key).agg(F.count(F.lit(1)).alias("n"))
+
+
+def text_search(index: DataFrame, total: int, query: str, key: str, k: int) -> DataFrame:
+    """The k documents that score highest: the sum over the query's words of
+    (1 + ln n) * ln(1 + total / documents with the word); ties by key."""
+    words = [w for w in re.split(r"[^\w]+", query.lower()) if w]
+    hits = index.filter(F.col("token").isin(words))
+    weight = hits.groupBy("token").agg(F.log1p(F.lit(float(total)) / F.count(F.lit(1))).alias("weight"))
+    scored = hits.join(weight, "token").groupBy(key).agg(F.round(F.sum((1 + F.log("n")) * F.col("weight")), 6).alias("score"))
+    return scored.orderBy(F.desc("score"), key).limit(k)
+
+
+def command(line: str, articles: DataFrame, search, related_to) -> DataFrame:
+    """A search line: "article:NAME" gives the article's rows, "related:NAME"
+    calls ``related_to``, anything else ``search`` with the text."""
+    kind, _, rest = line.strip().partition(":")
+    if rest and kind.lower() == "article":
+        return articles.filter(F.upper("headword") == rest.strip().upper()).orderBy("edition_year", "volume_num")
+    if rest and kind.lower() == "related":
+        return related_to(rest.strip().upper())
+    return search(line.strip())

@@ -511,3 +511,6 @@ def has_chunk_edges(spark, sf_dir):
     chunks = c.select(F.concat_ws("/", "role", F.length("text").cast("string")).alias("chunk_id"), F.col("turn").alias("chunk_index"), F.col("conv_id").alias("headword"), F.lit(1).alias("edition_year"))
     e = graph.has_chunk(chunks, a)
     return e.select("article_id", "chunk_index", F.split("chunk_id", "/")[0].alias("role"), F.split("chunk_id", "/")[1].cast("int").alias("n_chars"))
+
+
+from . import queries_recovery  # noqa: E402,F401  registers its queries
