@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch, row_type
+from .common import Scratch, free_name, row_type
 
 #: Lower-cases A-Z and turns every other ASCII byte that is no digit or letter into a space.
 FOLD = bytes(b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
@@ -122,8 +122,10 @@ def _scanner(block):
 
 
 def find_contamination(docs: DataFrame, items: DataFrame, scratch: Scratch, window: int = 10, text: str = "text", item_id: str = "item_id", item_text: str = "text", block_windows: int = 200_000, into: str = "contamination") -> DataFrame:
-    """docs with a struct column ``into``: n_words, spans (start and
-    end word of each merged hit, in turn) and items (sorted ids as text)."""
+    """docs with a struct column ``into`` (underscores are added to the name while
+    docs has it): n_words, spans (start and end word of each merged hit, in turn)
+    and items (sorted ids as text)."""
+    into = free_name(docs, into)
     spark = docs.sparkSession
     rows = items.select(F.col(item_id).cast("string").alias("id"), F.col(item_text).alias("t")).orderBy("id", "t").toLocalIterator()
     out = docs.withColumn(into, F.lit(None).cast(HITS))

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import kernels as K
-from .common import Scratch, row_type, text_parts
+from .common import Scratch, free_name, row_type, text_parts
 
 METRICS = row_type(n_words="long", word_chars="long", n_symbols="long", n_dup_lines="long", n_repeat_words="long")
 _SYMBOL = np.zeros(256, bool)
@@ -110,7 +110,9 @@ def judge(measured: DataFrame, scratch: Scratch, host: str, counts: str, rules:
 
 
 def apply_rules(docs: DataFrame, scratch: Scratch, text: str = "text", host: str = "source", rules: dict[str, str] | None = None, reject_rate: float = 0.6, into: str = "quality") -> DataFrame:
-    """docs with the struct column ``into`` (see judge). The measured rows are written
-    once, so that no text is measured twice."""
+    """docs with the struct column ``into`` (see judge; underscores are added to the
+    name while docs has it). The measured rows are written once, so that no text
+    is measured twice."""
+    into = free_name(docs, into)
     m = docs.select(F.struct(*docs.columns).alias("row"), F.col(host).alias("host"), metrics(F.col(text)).alias("q"))
     return judge(scratch.put(m, "measured"), scratch, "host", "q", rules, reject_rate).select("row.*", F.col("quality").alias(into))

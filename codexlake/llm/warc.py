@@ -36,15 +36,28 @@ def records(pages: DataFrame, payload: Column, record_id: Column, url: Column) -
     return rows.select("*", F.sha2("payload", 256).alias("sha256"), F.sha1("payload").alias("sha1"), F.octet_length("payload").cast("long").alias("n"))
 
 
-def write_archive(pages: DataFrame, scratch: Scratch, payload: str = "html", record_id: str = "page_id", url: str = "url", min_revisit: int = 1000, date: str = "2024-01-01T00:00:00Z") -> tuple[DataFrame, DataFrame]:
-    """The tables (payloads, headers) of an archive.
+def _written(scratch: Scratch, path: str | None, df: DataFrame, name: str) -> DataFrame:
+    if path is None:
+        return scratch.put(df, name)
+    df.write.parquet(f"{path}/{name}")
+    return scratch.spark.read.schema(df.schema).parquet(f"{path}/{name}")
+
+
+def open_archive(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """The tables of an archive that was written at a path."""
+    return spark.read.parquet(f"{path}/payloads"), spark.read.parquet(f"{path}/headers")
+
+
+def write_archive(pages: DataFrame, scratch: Scratch, payload: str = "html", record_id: str = "page_id", url: str = "url", min_revisit: int = 1000, date: str = "2024-01-01T00:00:00Z", path: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """The tables (payloads, headers) of an archive: at ``path``, where they stay
+    (see open_archive), or in scratch.
 
     payloads: sha256, payload, sha1, n, keeper (largest record_id).
     headers: record_id, sha256, header (binary)."""
     rec = records(pages, F.col(payload), F.col(record_id), F.col(url))
     stored = rec.groupBy("sha256").agg(F.any_value("payload").alias("payload"), F.max("record_id").alias("keeper"), F.min(F.struct("n", "sha1")).alias("lo"), F.max(F.struct("n", "sha1")).alias("hi"))
     same = F.when(F.col("lo") == F.col("hi"), F.col("lo.n")).otherwise(F.raise_error(F.concat(F.lit("one digest, two payloads: "), "sha256")).cast("long"))
-    payloads = scratch.put(stored.select("sha256", "payload", F.col("lo.sha1").alias("sha1"), same.alias("n"), "keeper"), "payloads")
+    payloads = _written(scratch, path, stored.select("sha256", "payload", F.col("lo.sha1").alias("sha1"), same.alias("n"), "keeper"), "payloads")
     # AQE splits the rows of a hot digest in this join
     head = rec.select("record_id", "url", "sha256", "sha1", "n").join(payloads.select("sha256", "keeper"), "sha256", "left")
     revisit = (F.col("n") >= min_revisit) & F.coalesce(F.col("record_id") != F.col("keeper"), F.col("keeper").isNotNull())
@@ -60,7 +73,7 @@ def write_archive(pages: DataFrame, scratch: Scratch, payload: str = "html", rec
         _line("Content-Length", F.when(revisit, F.lit("0")).otherwise(F.col("n").cast("string"))),
         F.lit(CRLF),
     )
-    headers = scratch.put(head.select("record_id", "sha256", block.cast("binary").alias("header")), "headers")
+    headers = _written(scratch, path, head.select("record_id", "sha256", block.cast("binary").alias("header")), "headers")
     return payloads, headers
 
 
