@@ -243,22 +243,69 @@ def _chunk_summary(chunks: DataFrame) -> DataFrame:
     return chunks.select("doc_id", "index", F.length("text").alias("n_chars"), F.md5(F.col("text").cast("binary")).alias("text_md5"))
 
 
-@query()
+_STRIP = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+
+
+def _edges(split: str, joint: int) -> str:
+    """Common table expressions: p with a text's parts, e with the places where
+    they begin when laid end to end."""
+    return f"""p as (select doc_id, text, {split} as parts from a where text is not null),
+q as (select doc_id, text, parts, unnest(range(0, len(parts) + 1)) as j from p),
+e as (select doc_id, text, parts, list(c order by j) as edge from (select *, coalesce(sum(case when j > 0 then length(parts[j]) + {joint} end) over (partition by doc_id order by j), 0) as c from q) group by all)"""
+
+
+def _numbered(chunks: str) -> str:
+    return f"select doc_id, cast(row_number() over (partition by doc_id order by pos) - 1 as int) as index, cast(length(t) as int) as n_chars, md5(t) as text_md5 from ({chunks}) where t <> ''"
+
+
+_PACKED_SQL = f"""{WITH_A}, {_edges("string_split_regex(text, chr(10) || '+')", 1)},
+w as (with recursive walk(doc_id, k, lo, to_k) as (
+  select doc_id, 0, 0, 0 from e where length(text) > 4000
+  union all
+  select doc_id, n, case when edge[n + 1] - lo > 200 and step > 0 then edge[n + 1] - 200 else edge[n + 1] end, step from (
+    select walk.doc_id, edge, lo, k + 1 as step, greatest(k + 1, len(list_filter(edge, lambda x: x < lo + 300)), len(list_filter(edge, lambda x: x <= lo + 4000)) - 1) as n0, least(greatest(k + 1, len(list_filter(edge, lambda x: x < lo + 300)), len(list_filter(edge, lambda x: x <= lo + 4000)) - 1), len(edge) - 1) as n from walk join e on walk.doc_id = e.doc_id where k < len(edge) - 1))
+  select * from walk),
+c as (select w.doc_id, lo, lead(k) over (partition by w.doc_id order by k) as k2 from w)
+{_numbered(f"select c.doc_id, lo as pos, trim(substr(array_to_string(parts, chr(10)) || chr(10), lo + 1, (edge[k2 + 1] - lo)::bigint), {_STRIP}) as t from c join e on c.doc_id = e.doc_id where k2 is not null union all select doc_id, 0, text from e where length(text) <= 4000")}"""
+
+
+def _filled_sql(split: str, joint: str) -> str:
+    bare = f"list_filter(list_transform({split}, lambda x: trim(x, {_STRIP})), lambda x: x <> '')"
+    return f"""{WITH_A}, {_edges(bare, 1)},
+w as (with recursive walk(doc_id, k) as (
+  select doc_id, 0 from e
+  union all
+  select walk.doc_id, greatest(k + 1, len(list_filter(edge, lambda x: x - 1 <= edge[k + 1] + 800)) - 1) from walk join e on walk.doc_id = e.doc_id where k < len(edge) - 1)
+  select * from walk),
+c as (select doc_id, k, lead(k) over (partition by doc_id order by k) as k2 from w)
+{_numbered(f"select c.doc_id, k as pos, array_to_string(parts[k + 1:k2], '{joint}') as t from c join e on c.doc_id = e.doc_id where k2 is not null")}"""
+
+
+_SLIDE_SQL = f"""{WITH_A}, s as (with recursive walk(doc_id, n, lo, hi) as (
+  select doc_id, length(text), 0, 0 from a where length(text) > 0
+  union all
+  select doc_id, n, lo2, case when lo2 + 4000 >= n then n when contains(z, chr(10)) and lo2 + 4000 - length(list_last(string_split(z, chr(10)))) - 1 > lo2 then lo2 + 4000 - length(list_last(string_split(z, chr(10)))) - 1 else lo2 + 4000 end from (
+    select walk.doc_id, n, case when hi = 0 then 0 else greatest(hi - 800, lo + 1) end as lo2, substr(text, case when hi = 0 then 0 else greatest(hi - 800, lo + 1) end + 3201, 800) as z from walk join a on a.doc_id = walk.doc_id where hi < n))
+  select * from walk where hi > 0)
+{_numbered(f"select s.doc_id, lo as pos, trim(substr(text, lo + 1, hi - lo), {_STRIP}) as t from s join a on a.doc_id = s.doc_id")}"""
+
+
+@query(_PACKED_SQL)
 def chunk_paragraphs(spark, sf_dir):
     return _chunk_summary(chunk.packed_chunks(doc_articles(spark, sf_dir), "doc_id", r"\n+", "\n"))
 
 
-@query()
+@query(_filled_sql("string_split_regex(text, chr(10) || '+')", "' || chr(10) || '"))
 def chunk_pack_800(spark, sf_dir):
     return _chunk_summary(chunk.filled_chunks(doc_articles(spark, sf_dir), "doc_id", r"\n+", "\n", 800))
 
 
-@query()
+@query(_filled_sql("string_split(regexp_replace(text, '([.!?])\\s+', '\\1' || chr(1), 'g'), chr(1))", " "))
 def chunk_sentences(spark, sf_dir):
     return _chunk_summary(chunk.filled_chunks(doc_articles(spark, sf_dir), "doc_id", chunk.SENTENCE, " ", 800))
 
 
-@query()
+@query(_SLIDE_SQL)
 def sliding_window(spark, sf_dir):
     return _chunk_summary(chunk.window_chunks(doc_articles(spark, sf_dir), "doc_id", 4000, 800, "\n"))
 
