@@ -386,12 +386,23 @@ def exact_match(spark, sf_dir):
     return fuzzy.exact_matches(_candidates(spark, sf_dir), _canonical(spark, sf_dir))
 
 
-@query()
+#: The ratio of all pairs whose lengths allow 80: a row of the table of common
+#: subsequences for each letter of the candidate.
+_LCS = """pr as (select candidate, canonical from (select distinct candidate from c), x where 200.0 * least(length(candidate), length(canonical)) >= 80 * (length(candidate) + length(canonical))),
+lcs as (with recursive w(candidate, canonical, k, row) as (
+  select candidate, canonical, 0, list_transform(range(1, length(canonical) + 1), lambda j: 0) from pr
+  union all
+  select candidate, canonical, k + 1, list_transform(range(1, length(canonical) + 1), lambda j: greatest(row[j], list_max(list_transform(range(1, j + 1), lambda i: case when canonical[i] = candidate[k + 1] then case when i > 1 then row[i - 1] else 0 end + 1 else 0 end)))) from w where k < length(candidate))
+  select candidate, canonical, 200.0::double * row[length(canonical)] / (length(candidate) + length(canonical)) as score from w where k = length(candidate)),
+v as (select candidate as variant, canonical, score from lcs where candidate not in (select canonical from x) and score >= 80 qualify row_number() over (partition by candidate order by score desc, canonical) = 1)"""
+
+
+@query(f"with {_CANDIDATES}, {_LCS} select candidate, canonical, score from lcs where score >= 85 qualify row_number() over (partition by candidate order by score desc, canonical) = 1")
 def fuzzy_top1(spark, sf_dir):
     return fuzzy.best_match(_candidates(spark, sf_dir), _canonical(spark, sf_dir), 85)
 
 
-@query()
+@query(f"with {_CANDIDATES}, {_LCS} select variant, canonical, score from v where score < 100")
 def learned_variations(spark, sf_dir):
     return fuzzy.learn_variations(_candidates(spark, sf_dir), _canonical(spark, sf_dir))
 
@@ -403,7 +414,13 @@ def variation_match(spark, sf_dir):
     return fuzzy.variation_matches(_candidates(spark, sf_dir), v).select("pos", "candidate", "canonical")
 
 
-@query()
+@query(
+    f"{WITH_E}, {_CANDIDATES}, {_LCS}, absent as (select canonical from x where canonical not in (select headword from e where edition_year = 1842)), "
+    "n as (select candidate, lcs.canonical from lcs join absent using (canonical) where score >= 85 qualify row_number() over (partition by candidate order by score desc, lcs.canonical) = 1), "
+    "m as (select pos, candidate, candidate as canonical, 'exact' as match_type, 0 as r from c where candidate in (select canonical from absent) "
+    "union all select pos, candidate, canonical, 'variation', 1 from c join v on candidate = variant where score < 100 and canonical in (select canonical from absent) "
+    "union all select pos, candidate, canonical, 'fuzzy', 2 from c join n using (candidate)) select pos, candidate, canonical, match_type from m qualify row_number() over (partition by pos order by r, candidate) = 1"
+)
 def match_priority(spark, sf_dir):
     from .plans.corpus import recover
 
