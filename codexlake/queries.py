@@ -443,12 +443,12 @@ def _terms(spark, sf_dir):
     return doc_articles(spark, sf_dir).filter("headword <> ''").select(F.col("headword").alias("term")).distinct()
 
 
-@query(f"{WITH_A}, {_TERMS}, w as (select doc_id, list_filter(string_split_regex(upper(text), '[^\\p{{L}}\\p{{N}}''\\-]+'), lambda x: x <> '') as l from a), u as (select doc_id, unnest(l) as term, generate_subscripts(l, 1) as pos from w) select doc_id, term, cast(min(pos) as int) as pos from u where term in (select term from t) group by 1, 2")
+@query(f"{WITH_A}, {_TERMS}, w as (select doc_id, list_filter(string_split_regex(upper(replace(text, 'ß', 'ss')), '[^\\p{{L}}\\p{{N}}''\\-]+'), lambda x: x <> '') as l from a), u as (select doc_id, unnest(l) as term, generate_subscripts(l, 1) as pos from w) select doc_id, term, cast(min(pos) as int) as pos from u where term in (select term from t) group by 1, 2")
 def link_terms(spark, sf_dir):
     return link.term_hits(doc_articles(spark, sf_dir), _terms(spark, sf_dir), "doc_id", 2)
 
 
-@query(f"{WITH_A}, {_TERMS}, w as (select doc_id, edition_year as y, headword as own, list_distinct(list_filter(string_split_regex(upper(text), '[^\\p{{L}}\\p{{N}}''\\-]+'), lambda x: x <> '')) as l from a), u as (select doc_id, y, own, unnest(l) as term from w), v as (select headword as term, edition_year as y, min(volume_num) as vol from a group by 1, 2), m as (select term, max(case when y = 1842 then 1842 end) as y42, min(y) as y0 from v group by 1), j as (select u.doc_id, u.term, coalesce(case when v.y is not null then u.y end, m.y42, m.y0) as target_year from u join t on u.term = t.term join m on m.term = u.term left join v on v.term = u.term and v.y = u.y where u.own <> u.term) select j.doc_id, j.term, j.target_year, v.vol as target_volume from j join v on v.term = j.term and v.y = j.target_year")
+@query(f"{WITH_A}, {_TERMS}, w as (select doc_id, edition_year as y, headword as own, list_distinct(list_filter(string_split_regex(upper(replace(text, 'ß', 'ss')), '[^\\p{{L}}\\p{{N}}''\\-]+'), lambda x: x <> '')) as l from a), u as (select doc_id, y, own, unnest(l) as term from w), v as (select headword as term, edition_year as y, min(volume_num) as vol from a group by 1, 2), m as (select term, max(case when y = 1842 then 1842 end) as y42, min(y) as y0 from v group by 1), j as (select u.doc_id, u.term, coalesce(case when v.y is not null then u.y end, m.y42, m.y0) as target_year from u join t on u.term = t.term join m on m.term = u.term left join v on v.term = u.term and v.y = u.y where u.own <> u.term) select j.doc_id, j.term, j.target_year, v.vol as target_volume from j join v on v.term = j.term and v.y = j.target_year")
 def link_targets(spark, sf_dir):
     a = doc_articles(spark, sf_dir)
     hits = link.term_hits(a, _terms(spark, sf_dir), "doc_id", 2)
