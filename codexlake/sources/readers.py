@@ -98,3 +98,38 @@ def read_index(spark: SparkSession, path: str) -> DataFrame:
 
 def read_index_entries(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(schemas.INDEX_ENTRY).json(path)
+
+
+def locate(volumes: DataFrame, identifier: str) -> DataFrame:
+    """The first file, by name, whose first record's source holds an identifier:
+    file and source_file."""
+    first = Window.partitionBy("file").orderBy("source_file")
+    one = volumes.select("file", "source_file").withColumn("rn", F.row_number().over(first)).filter("rn = 1").drop("rn")
+    return one.filter(F.contains("source_file", F.lit(identifier))).orderBy("file").limit(1)
+
+
+def with_sidecars(texts: DataFrame, metadata: DataFrame) -> DataFrame:
+    """Texts joined to the metadata files of the same stem; texts without any
+    are left out."""
+    stem = lambda c: F.regexp_replace(c, r"(?:\.[A-Za-z0-9]{1,5})+$", "")
+    return texts.withColumn("stem", stem(F.col("file"))).join(metadata.withColumn("stem", stem(F.col("file"))).drop("file"), "stem")
+
+
+def read_embeddings(spark: SparkSession, path: str) -> DataFrame:
+    """Cached embeddings, by chunk and never by place: chunk_id, embedding."""
+    return spark.read.schema("chunk_id string, embedding array<float>").json(path)
+
+
+def read_variations(spark: SparkSession, path: str) -> DataFrame:
+    """Variations that were registered: variant, canonical."""
+    return spark.read.schema("variant string, canonical string").json(path)
+
+
+def line_errors(volumes: DataFrame) -> DataFrame:
+    """Records and malformed ones of each file."""
+    return volumes.groupBy("file").agg(F.count(F.lit(1)).alias("records"), F.count("malformed").alias("malformed"))
+
+
+def index_terms(entries: DataFrame) -> DataFrame:
+    """Main entries with references and more than one letter."""
+    return entries.filter((F.col("entry_type") == "main") & (F.size("references") > 0) & (F.length("term") > 1))

@@ -50,3 +50,52 @@ def assert_unique(df: DataFrame, keys: list[str]) -> None:
     twice = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").take(1)
     if twice:
         raise ValueError(f"{keys} are not unique: {twice[0]}")
+
+
+def write_statistics(articles: DataFrame, path: str) -> None:
+    """One JSON line for each edition: volumes, articles, articles by type."""
+    kinds = articles.groupBy("edition_year", "article_type").agg(F.count(F.lit(1)).alias("n"))
+    types = kinds.groupBy("edition_year").agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("article_type", "n")))).alias("types"), F.sum("n").alias("articles"))
+    volumes = articles.groupBy("edition_year").agg(F.count_distinct("volume_num").alias("volumes"))
+    types.join(volumes, "edition_year").orderBy("edition_year").coalesce(1).write.mode("overwrite").json(path)
+
+
+def write_registry(registry: DataFrame, variations: DataFrame, path: str) -> None:
+    """The registry and the variations, as lines that the readers read."""
+    registry.write.mode("overwrite").json(f"{path}/registry")
+    variations.select("variant", "canonical").write.mode("overwrite").json(f"{path}/variations")
+
+
+def replace_with_backup(df: DataFrame, path: str) -> None:
+    """Writes df, as lines, in place of a folder whose content is kept beside it
+    as ``.backup``; df may read that folder, as it is written elsewhere first."""
+    spark = df.sparkSession
+    df.write.mode("overwrite").json(f"{path}.new")
+    place = spark._jvm.org.apache.hadoop.fs.Path
+    new, old, backup = place(f"{path}.new"), place(path), place(f"{path}.backup")
+    fs = old.getFileSystem(spark._jsc.hadoopConfiguration())
+    if fs.exists(old):
+        fs.delete(backup, True)
+        fs.rename(old, backup)
+    fs.rename(new, old)
+
+
+def site_pages(articles: DataFrame, preview: int = 300) -> DataFrame:
+    """A page for each volume: its file name and HTML, a heading, and for each
+    article anchor, headword, kind, pages and the start of its text."""
+    from ..functions import text as X
+
+    pages = F.when(F.col("start_page").isNotNull(), F.concat(F.lit(", p. "), F.concat_ws("-", "start_page", F.nullif("end_page", "start_page")))).otherwise("")
+    row = F.concat(F.lit('<article id="'), X.anchor_id("headword"), F.lit('"><h2>'), X.escape_html("headword"), F.lit("</h2><p class=\"kind\">"), "article_type", pages, F.lit("</p><p>"), X.escape_html(X.preview("text", preview)), F.lit("</p></article>"))
+    rows = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("char_start", row.alias("r")))), lambda x: x["r"]), "\n")
+    g = articles.groupBy("edition_year", "volume_num").agg(rows.alias("rows"), F.count(F.lit(1)).alias("n"))
+    head = F.format_string("<!doctype html><title>%d, volume %d</title><h1>%d, volume %d: %d articles</h1>\n", "edition_year", "volume_num", "edition_year", "volume_num", "n")
+    return g.select(F.format_string("%d/vol%d.html", "edition_year", "volume_num").alias("file"), F.concat(head, "rows").alias("html"))
+
+
+def site_index(articles: DataFrame) -> DataFrame:
+    """The page of each edition: its volumes with their numbers of articles."""
+    v = articles.groupBy("edition_year", "volume_num").agg(F.count(F.lit(1)).alias("n"))
+    line = F.format_string('<li><a href="vol%d.html">Volume %d</a> (%d)</li>', "volume_num", "volume_num", "n")
+    rows = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("volume_num", line.alias("r")))), lambda x: x["r"]), "\n")
+    return v.groupBy("edition_year").agg(rows.alias("rows")).select(F.format_string("%d/index.html", "edition_year").alias("file"), F.concat(F.lit("<ul>\n"), "rows", F.lit("\n</ul>")).alias("html"))

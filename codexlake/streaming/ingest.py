@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from .. import schemas
-from ..operators.segment import segment, typed
+from ..plans.corpus import extract_corpus
 
 
 def stream_volumes(spark: SparkSession, path: str, files_per_trigger: int = 100) -> DataFrame:
@@ -17,10 +17,11 @@ def stream_volumes(spark: SparkSession, path: str, files_per_trigger: int = 100)
 
 
 def ingest(spark: SparkSession, path: str, out: str, checkpoint: str) -> StreamingQuery:
-    """Segments what is new since the last run and appends it; a batch that is
-    run again replaces its own folder, so nothing is written twice."""
+    """Extracts the articles of what is new since the last run, as the batch job
+    does, and appends them; a batch that is run again replaces its own folder, so
+    nothing is written twice."""
     def write(batch: DataFrame, number: int) -> None:
-        typed(segment(batch)).write.mode("overwrite").parquet(f"{out}/batch={number}")
+        extract_corpus(batch)["articles"].write.mode("overwrite").parquet(f"{out}/batch={number}")
 
     return stream_volumes(spark, path).writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 

@@ -89,3 +89,70 @@ def test_chunk_spans_are_exact():
 def test_dedupe_within_an_edition(spark):
     df = spark.createDataFrame([(1, "A", 1771, 1, "t"), (2, "A", 1771, 1, "t"), (3, "A", 1815, 1, "t")], "k int, headword string, edition_year int, volume_num int, text string")
     assert sorted(r.k for r in stats.dedupe_articles(df, ["k"]).collect()) == [1, 3]
+
+
+def test_stream_and_batch_agree(spark, tmp_path):
+    from codexlake.streaming.ingest import ingest
+
+    text = TEXT + "\n\nOPTICS.\n\nThe science of light, which is treated here at length by us all.\n\nOPTICS.\n\nThe second part of the science of light, on its colours and on glasses."
+    lines = [(y, str(y), v, None, f"f{v}", text) for y in (1771, 1815) for v in (1, 2)]
+    spark.createDataFrame(lines, "edition int, edition_name string, volume int, range string, source_file string, text string").write.json(f"{tmp_path}/in")
+    ingest(spark, f"{tmp_path}/in", f"{tmp_path}/out", f"{tmp_path}/check").awaitTermination()
+    cols = ["edition_year", "volume_num", "headword", "sense_number", "text", "article_type"]
+    got = spark.read.parquet(f"{tmp_path}/out").select(cols).collect()
+    v = spark.createDataFrame([(f"{x[0]}_{x[2]}", x[0], x[2], text) for x in lines], "volume_id string, edition_year int, volume_num int, text string")
+    want = extract_corpus(v)["articles"].select(cols).collect()
+    assert sorted(map(tuple, got)) == sorted(map(tuple, want)) and len(want) == 12
+
+
+def test_site_statistics_registry_and_backup(spark, tmp_path):
+    import json
+
+    from codexlake.sources import readers
+
+    a = extract_corpus(volumes(spark))["articles"]
+    pages = {r.file: r.html for r in sinks.site_pages(a).collect()}
+    assert set(pages) == {"1771/vol1.html", "1815/vol1.html"} and 'id="article-ABBEY"' in pages["1771/vol1.html"] and "p. 1-2" in pages["1771/vol1.html"]
+    assert '<a href="vol1.html">Volume 1</a> (2)' in sinks.site_index(a).first().html
+    sinks.write_statistics(a, f"{tmp_path}/stats")
+    got = [json.loads(r.value) for r in spark.read.text(f"{tmp_path}/stats").collect()]
+    assert [(r["edition_year"], r["articles"], r["volumes"]) for r in got] == [(1771, 2, 1), (1815, 2, 1)]
+    v = spark.createDataFrame([("ASTR0NOMY", "ASTRONOMY")], "variant string, canonical string")
+    r = spark.createDataFrame([("ASTRONOMY", [1771])], "headword string, editions_found array<int>")
+    sinks.write_registry(r, v, f"{tmp_path}/reg")
+    assert readers.read_variations(spark, f"{tmp_path}/reg/variations").collect() == v.collect()
+    assert readers.read_registry(spark, f"{tmp_path}/reg/registry").first().editions_found == [1771]
+    where = f"{tmp_path}/lines"
+    for n in (1, 2):
+        sinks.replace_with_backup(spark.range(n).selectExpr("id as k"), where)
+    assert spark.read.json(where).count() == 2 and spark.read.json(f"{where}.backup").count() == 1
+
+
+def test_sources_by_name(spark):
+    from codexlake.sources import readers
+
+    t = spark.createDataFrame([("b.md", "x"), ("c.md", "y")], "file string, text string")
+    m = spark.createDataFrame([("b.meta.json", 3)], "file string, pages int")
+    assert [(r.stem, r.text, r.pages) for r in readers.with_sidecars(t, m).collect()] == [("b", "x", 3)]
+    v = spark.createDataFrame([("f1", "scan 12", None), ("f2", "scan 123", "{"), ("f2", "z", None)], "file string, source_file string, malformed string")
+    assert readers.locate(v, "123").first().file == "f2"
+    assert sorted(map(tuple, readers.line_errors(v).collect())) == [("f1", 1, 0), ("f2", 2, 1)]
+
+
+def test_search_commands(spark):
+    from codexlake.operators import vector
+
+    a = spark.createDataFrame([("OPTICS", 1815, 2), ("OPTICS", 1771, 1), ("LAW", 1771, 1)], "headword string, edition_year int, volume_num int")
+    said = []
+    ask = lambda line: vector.command(line, a, lambda q: said.append(("text", q)), lambda n: said.append(("related", n)))
+    assert [r.edition_year for r in ask("article: optics").collect()] == [1771, 1815]
+    ask("related:Law")
+    ask(" the law of light ")
+    assert said == [("related", "LAW"), ("text", "the law of light")]
+
+
+def test_large_sections_are_cut_between_paragraphs():
+    text = "\n \n".join("word " * 60 for _ in range(100))
+    got = chunk.even_parts(text, 2000)
+    assert all(len(t) <= 2000 for _, _, t in got) and got[0][0] == 0 and got[-1][1] == len(text.rstrip())
+    assert " ".join(t for _, _, t in got).split() == text.split()
