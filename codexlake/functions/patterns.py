@@ -188,5 +188,10 @@ CANDIDATES = {
 FURTHER_REFERENCES = (r"\bVid\.\s+([A-Z][A-Za-z'\-]+)", r"\b([A-Z][A-Za-z'\-]+),?\s+q\.\s?v\.", r"\b([A-Z][A-Za-z'\-]+),?\s+which\s+see\b")
 
 
+#: words of running heads, and words that look like small Roman numerals
+HEADER_WORDS = ("PART", "VOL", "VOLUME", "PLATE", "FIGURE", "PAGE", "CHAPTER", "SECTION", "INDEX", "CONTENTS")
+NOT_NUMERALS = ("VI", "MIX", "VIM", "MIC", "MID", "VIA", "VIC", "VII")
+
+
 def java(pattern: str, ignore_case: bool = False) -> str:
     return ("(?iuUmd)" if ignore_case else "(?Umd)") + pattern

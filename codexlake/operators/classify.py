@@ -139,3 +139,20 @@ def valid_in_edition(headword: Column, year: Column, volume: Column) -> Column:
                 why = F.coalesce(why, F.when(outside, F.concat(F.lit("Headword "), name, F.lit(f" outside volume {v} range ({lo}-{hi})"))))
         reason = F.when(year == y, why).otherwise(reason)
     return reason
+
+
+def header_errors(headword: Column, text: Column) -> Column:
+    """Signs that an article is a running head, joined by semicolons; empty if
+    there are none."""
+    t = F.regexp_replace(text, r"(?U)\A\s+|\s+\z", "")
+    short = (F.length(t) < 20) & ~t.rlike(r"(?iu)\ASee\s+[A-Z]")
+    numeral = headword.rlike("^[IVX]{1,4}$") & ~headword.isin(list(P.NOT_NUMERALS))
+    again = (F.upper(t) == headword) | F.startswith(F.upper(t), F.concat(headword, F.lit(" "), headword))
+    tests = (
+        (short, F.concat(F.lit("very_short_entry_"), F.length(t).cast("string"), F.lit("chars"))),
+        (headword.isin(list(P.HEADER_WORDS)), F.lit("common_header_word")),
+        (headword.rlike(r"^\d+$"), F.lit("arabic_numeral_headword")),
+        (numeral, F.lit("short_roman_numeral")),
+        (again, F.lit("repeated_headword_only")),
+    )
+    return F.concat_ws("; ", *(F.when(test, why) for test, why in tests))

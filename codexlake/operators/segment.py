@@ -233,16 +233,18 @@ def page_as_of(marks: Column, position: Column) -> Column:
 
 
 def page_range(pages: Column, start: Column, end: Column) -> Column:
-    """Pages (first, last) of a span. Entries (0, 0) of the map are unset; of
-    several that start at or before an offset the last holds; an offset before
-    all of them is on the page before the first."""
+    """Pages (start_page, end_page) of a span. Entries (0, 0) of the map are
+    unset. The map is read up to the first entry that holds the end or begins
+    behind it; the former's page is the end's, the latter's less one (1 at least).
+    Of the entries read that hold the start the last counts."""
     real = F.filter(pages, lambda p: (p["start"] != 0) | (p["end"] != 0))
-
-    def at(x: Column) -> Column:
-        before = F.filter(real, lambda p: p["start"] <= x)
-        return F.when(F.size(before) > 0, F.element_at(before, -1)["page"]).when(F.size(real) > 0, F.get(real, 0)["page"] - 1)
-
-    return F.struct(at(start).cast("int").alias("start_page"), at(end).cast("int").alias("end_page"))
+    stops = F.transform(real, lambda p: ((p["start"] <= end) & (end <= p["end"])) | (p["start"] > end))
+    n = F.coalesce(F.array_position(stops, F.lit(True)), F.lit(0)).cast("int")
+    stop = F.get(real, n - 1)
+    end_page = F.when(n > 0, F.when(stop["start"] <= end, stop["page"]).otherwise(F.greatest(stop["page"] - 1, F.lit(1))))
+    holds = F.filter(F.when(n > 0, F.slice(real, 1, n)).otherwise(real), lambda p: (p["start"] <= start) & (start <= p["end"]))
+    start_page = F.when(F.size(holds) > 0, F.element_at(holds, -1)["page"])
+    return F.struct(start_page.cast("int").alias("start_page"), end_page.cast("int").alias("end_page"))
 
 
 def article_end(text: Column, start: Column, boundaries: Column, skip: int = 50, most: int = 100_000) -> Column:

@@ -74,7 +74,7 @@ def edition_headwords(spark, sf_dir):
     return e.select("k", classify.valid_in_edition(F.col("headword"), F.col("edition_year"), F.col("volume_num")).alias("reason"))
 
 
-@query(f"{WITH_A}, x as (select doc_id, length(text) as n, 100 + (doc_id * 37) % greatest(length(text), 1) as pos from a) select doc_id, pos, cast(case when pos < 500 then 9 else pos // 500 + 9 end as int) as start_page, cast((pos + n) // 500 + 9 as int) as end_page from x where pos + n >= 500")
+@query(f"{WITH_A}, x as (select doc_id, length(text) as n, 100 + (doc_id * 37) % greatest(length(text), 1) as pos from a) select doc_id, pos, cast(case when pos >= 500 then pos // 500 + 9 end as int) as start_page, cast((pos + n) // 500 + 9 as int) as end_page from x where pos + n >= 500")
 def page_spans(spark, sf_dir):
     """Pages of 500 characters from page 10 on, the first of which starts at
     500; an unset entry stands before them."""
@@ -118,6 +118,20 @@ def recovered_bodies(spark, sf_dir):
     return recover.recovered_bodies(v, found.select("volume_id", "pos", "canonical")).select("volume_id", "canonical", F.md5(F.col("text").cast("binary")).alias("body_md5"))
 
 
+_HEADER_WORDS = "('PART','VOL','VOLUME','PLATE','FIGURE','PAGE','CHAPTER','SECTION','INDEX','CONTENTS')"
+
+
+@query(
+    f"with h as (select doc_id, upper(regexp_extract(text, '^[A-Za-z]+')) as h, trim(text, ' ' || chr(10)) as t from documents where text is not null) "
+    "select doc_id, concat_ws('; ', case when length(t) < 20 and not regexp_matches(t, '(?i)^See\\s+[A-Z]') then 'very_short_entry_' || length(t) || 'chars' end, "
+    f"case when h in {_HEADER_WORDS} then 'common_header_word' end, case when regexp_matches(h, '^[IVX]{{1,4}}$') and h not in ('VI','VII') then 'short_roman_numeral' end, "
+    "case when upper(t) = h or starts_with(upper(t), h || ' ' || h) then 'repeated_headword_only' end) as reasons from h"
+)
+def header_errors(spark, sf_dir):
+    a = doc_articles(spark, sf_dir).filter("text is not null")
+    return a.select("doc_id", classify.header_errors(F.col("headword"), F.col("text")).alias("reasons"))
+
+
 # --- registry and reports ----------------------------------------------------------------
 
 _FACTS = "f as (select distinct headword, edition_year as year from e), y as (select headword, list_sort(list(year)) as ys from f group by 1)"
