@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
+from ..functions.spread import spread
 from ..functions.text import anchor_id, escape_html
 
 
@@ -61,7 +62,7 @@ def term_hits(docs: DataFrame, terms: DataFrame, key: str, most_words: int, sent
     executors, and only hits leave the scan of the texts. A larger one is joined
     to the texts' n-grams of up to ``most_words`` words."""
     words = F.filter(F.split(F.upper("text"), r"[^\p{L}\p{N}'\-]+"), lambda w: w != "")
-    w = docs.select(F.col(key), words.alias("w"))
+    w = spread(docs.select(F.col(key), F.col("text"))).select(F.col(key), words.alias("w"))
     terms = terms.select(F.upper("term").alias("term")).filter("term <> ''").distinct()
     small = terms.limit(sent + 1).collect()
     if len(small) <= sent:
