@@ -82,4 +82,16 @@ comp as (select a, min(b) as c from walk group by a)
 select d.doc_id, coalesce(n.n, 0)::bigint as n_shingles, comp.c as component_id, d.doc_id = comp.c as kept from d left join n using (rid) join comp on comp.a = d.doc_id
 """
 
-ORACLE = {"op2_decontamination": OP2, "op3_warc": OP3, "op5_mixing": OP5, "op7_quality_rules": OP7, "op10_minhash": OP10}
+OP9 = r"""
+with d as (select row_number() over () as rid, doc_id, hex(encode(coalesce(text, ''))) as h from documents),
+w as (select rid, i, md5(substr(h, 2 * i + 1, 400)) as m from (select rid, h, unnest(range(0, length(h) // 2 - 199)) as i from d where length(h) >= 400)),
+rep as (select rid, i from (select rid, i, count(*) over (partition by m) as n from w) where n > 1),
+runs as (select rid, i, sum(case when i <= before + 200 then 0 else 1 end) over (partition by rid order by i) as g from (select rid, i, lag(i) over (partition by rid order by i) as before from rep)),
+spans as (select rid, min(i) as lo, max(i) + 200 as hi from runs group by rid, g),
+gaps as (select rid, coalesce(lag(hi) over (partition by rid order by lo), 0) as a, lo as b from spans union all select rid, max(hi), null from spans group by rid),
+kept as (select rid, string_agg(substr(h, 2 * a + 1, 2 * (coalesce(b, length(h) // 2) - a)), '' order by a) as k from gaps join d using (rid) group by rid),
+sums as (select rid, sum(hi - lo) as n_removed, count(*) as n_spans from spans group by rid)
+select doc_id, cast(length(h) // 2 as bigint) as n_bytes, cast(coalesce(n_removed, 0) as bigint) as n_removed, coalesce(n_spans, 0) as n_spans, sha256(unhex(coalesce(k, h))) as kept_sha256 from d left join sums using (rid) left join kept using (rid)
+"""
+
+ORACLE = {"op2_decontamination": OP2, "op3_warc": OP3, "op5_mixing": OP5, "op7_quality_rules": OP7, "op9_suffix_dedup": OP9, "op10_minhash": OP10}
