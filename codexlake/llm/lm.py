@@ -159,7 +159,7 @@ class Model:
         memory = {p: np.ones_like(getattr(self, p)) for p in (*self.DENSE, "r", "b")}
         return memory | {"leaf": Level(self.unigram, self.branch, rng, draws), "twig": Level(self.twigs, self.branch, rng, 4 * draws), "hits": np.zeros(self.n + 1, np.float32), "steps": 0}
 
-    def train(self, c1: np.ndarray, c2: np.ndarray, w: np.ndarray, rng, memory: dict, noise: int = 16, own: int = 3, rate: float = 0.03, half: int = 100) -> None:
+    def train(self, c1: np.ndarray, c2: np.ndarray, w: np.ndarray, rng, memory: dict, noise: int = 16, own: int = 2, rate: float = 0.03, half: int = 100) -> None:
         """One minibatch by noise-contrastive estimation and AdaGrad, whose sums
         start at 1, so that what is seen once moves little; the rate has halved
         after ``half`` minibatches, as late noise would undo what was learnt."""
@@ -185,8 +185,8 @@ class Model:
             v = lv.drawn[parent[:, None], rng.integers(0, lv.drawn.shape[1], (len(w), own))]
             xt, xv = x[to], x[v]
             gt = _near((h * xt).sum(1) + bias[to] - lv.log[to] - shift)
-            gf = -_near(-((xv @ h[:, :, None])[:, :, 0] + (bias[v] - lv.log[v] - shift)))
-            gh += gt[:, None] * xt + (gf[:, None, :] @ xv)[:, 0]
+            gf = -_near(-(np.einsum("tod,td->to", xv, h) + (bias[v] - lv.log[v] - shift)))
+            gh += gt[:, None] * xt + np.einsum("to,tod->td", gf, xv)
             both = np.concatenate([gt, gf.ravel()])
             found[level] = np.concatenate([to, v.ravel()]), both, np.concatenate([gt[:, None] * h, (gf[:, :, None] * h[:, None, :]).reshape(-1, self.dim)])
         ids, g, gx = found["twig"]
@@ -205,7 +205,7 @@ class Model:
             memory[p][rows] = m
             getattr(self, p)[rows] += rate * x / np.sqrt(m)
 
-    def log10(self, c1: np.ndarray, c2: np.ndarray, w: np.ndarray, part: int = 1 << 17) -> np.ndarray:
+    def log10(self, c1: np.ndarray, c2: np.ndarray, w: np.ndarray, part: int = 1 << 18) -> np.ndarray:
         return np.concatenate([self._log10(c1[a : a + part], c2[a : a + part], w[a : a + part]) for a in range(0, len(w), part)] or [np.zeros(0)])
 
     def _log10(self, c1: np.ndarray, c2: np.ndarray, w: np.ndarray) -> np.ndarray:
@@ -239,10 +239,10 @@ def _log_share(h: np.ndarray, vectors: np.ndarray, bias: np.ndarray, pick: np.nd
     """Logarithm of the softmax at pick."""
     x = h @ vectors.T
     x += bias
-    np.clip(x, -60, 60, out=x)
+    np.minimum(x, 80, out=x)  # so that the sum stays finite
     at = x[np.arange(len(x)), pick].astype(np.float64)
     np.exp(x, out=x)
-    return at - np.log(x.sum(1, dtype=np.float64))
+    return at - np.log(x.sum(1)).astype(np.float64)
 
 
 def contexts(ids: np.ndarray, first: np.ndarray, before: int) -> tuple[np.ndarray, np.ndarray]:
@@ -277,7 +277,7 @@ class Words:
         return out
 
 
-def fit(docs: DataFrame, text: str, words: list[bytes], places: Words, unigram: np.ndarray, dim: int, total: int, rounds: int, shard_tokens: int, batch_words: int = 4096) -> tuple[np.ndarray, np.ndarray]:
+def fit(docs: DataFrame, text: str, words: list[bytes], places: Words, unigram: np.ndarray, dim: int, total: int, rounds: int, shard_tokens: int, batch_words: int = 8192) -> tuple[np.ndarray, np.ndarray]:
     """Parameters after ``rounds`` rounds over disjoint parts of the texts, each
     averaged over its shards."""
     model = Model(unigram, dim)
@@ -327,7 +327,7 @@ def _round(shared, number: int, batch_words: int):
                 queue += got
                 if -1 in got:
                     groups += [places.group(y) for y, i in zip(t, got, strict=True) if i < 0]
-                if len(queue) >= 32 * batch_words:
+                if len(queue) >= 16 * batch_words:
                     flush()
         flush()
         if seen:
@@ -395,8 +395,8 @@ def scorer(shared):
     def score(text: pa.Array) -> pa.Array:
         held = _open(name, shared)
         out = []
-        for a in range(0, len(text), 250):
-            *cols, rare = part(_bytes(text.slice(a, 250)), *held)
+        for a in range(0, len(text), 1000):
+            *cols, rare = part(_bytes(text.slice(a, 1000)), *held)
             lists = [pa.array([list(r) for r in rare], pa.list_(pa.binary())), pa.array([list(r.values()) for r in rare], pa.list_(pa.int64()))]
             out.append(pa.StructArray.from_arrays([*(pa.array(c) for c in cols), *lists], SCORED.names))
         return pa.concat_arrays(out) if out else pa.array([], pa.struct([]))
