@@ -90,8 +90,13 @@ class Scratch:
             fs.delete(path, True)
 
 
-def few(df: DataFrame, most: int) -> DataFrame:
-    """df, marked for broadcast if it has at most ``most`` rows (counted)."""
+#: Rows of a few numbers that may be broadcast: some 100 MB.
+FEW = 2_000_000
+
+
+def few(df: DataFrame, most: int = FEW) -> DataFrame:
+    """df, marked for broadcast if it has at most ``most`` rows (counted). Above
+    that Spark joins by shuffle."""
     return F.broadcast(df) if df.count() <= most else df
 
 

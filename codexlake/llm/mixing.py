@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import WORD, Scratch, free_name, id_text
+from .common import WORD, Scratch, few, free_name, id_text
 
 BINS = 4096
 PASSES = 5
@@ -121,6 +121,9 @@ def mixed_documents(docs: DataFrame, scratch: Scratch, **options) -> DataFrame:
     Rows are told apart by their place in the scan, so docs must be a table
     that was read, not one that changes its order when computed again."""
     key = free_name(docs, "__place")
+    while {key + "n", key + "i"} & set(docs.columns):
+        key += "_"
     placed = docs.withColumn(key, F.monotonically_increasing_id())
     got = mix(placed, scratch, key=F.col(key), **options).filter("copies > 0").select(F.col("key").alias(key), F.col("copies").alias(key + "n"))
-    return placed.join(got, key).withColumn(key + "i", F.explode(F.sequence(F.lit(1).cast("long"), F.col(key + "n")))).drop(key, key + "n", key + "i")
+    # texts are shuffled only where there are too many rows to send
+    return placed.join(few(scratch.put(got, "taken")), key).withColumn(key + "i", F.explode(F.sequence(F.lit(1).cast("long"), F.col(key + "n")))).drop(key, key + "n", key + "i")

@@ -200,9 +200,6 @@ def judge_cells(percent: int, limit: int):
 class Linker:
     """Candidate classes, their sets and the links confirmed so far."""
 
-    #: Ids of classes are sent to all executors up to this number (some 100 MB).
-    FEW = 2_000_000
-
     def __init__(self, docs: DataFrame, scratch: Scratch, doc_id: str, text: str, size: int, percent: int, bucket_rows: int):
         self.docs, self.scratch, self.size, self.percent, self.bucket_rows = docs, scratch, size, percent, bucket_rows
         self.doc_id, self.text = doc_id, text
@@ -245,7 +242,7 @@ class Linker:
         nodes = self.scratch.put(nodes, "nodes")
         one = self.docs.select(F.col(self.doc_id).alias("node"), F.col(self.text).alias("body"))
         # the text is shuffled only where there are too many ids to send
-        sets = one.join(few(nodes, self.FEW), "node", "left_semi").select("node", set_udf(self.size)("body").alias("set")).filter(F.size("set") > 0)
+        sets = one.join(few(nodes), "node", "left_semi").select("node", set_udf(self.size)("body").alias("set")).filter(F.size("set") > 0)
         sets = self.scratch.put(sets, "sets")
         side = lambda x: sets.select(F.col("node").alias(x), F.col("set").alias("s" + x))
         p = pairs.join(side("a"), "a").join(side("b"), "b")
@@ -313,4 +310,4 @@ def deduplicated(docs: DataFrame, scratch: Scratch, doc_id: str = "doc_id", **op
     best = found.groupBy("component_id").agg(F.count(F.lit(1)).alias("rows"), F.min(F.struct(F.col("id").isNull().alias("x"), "id", "place")).alias("best"))
     groups = best.filter("rows > 1").select("component_id", F.col("best.place").alias("stays"))
     gone = scratch.put(found.join(groups, "component_id").filter("place != stays").select(F.col("place").alias(place)), "gone")
-    return placed.join(few(gone, Linker.FEW), place, "left_anti").drop(place)
+    return placed.join(few(gone), place, "left_anti").drop(place)

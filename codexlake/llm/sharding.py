@@ -155,7 +155,7 @@ def kd_shards(docs: DataFrame, scratch: Scratch, shards: int = 24, tolerance: fl
     if dims is None:
         dims, unnumbered = {"d_length": None}, points
         for c in ("source", "lang"):
-            numbers = few(ordinals(points.select(c), scratch).withColumnsRenamed({"value": c, "number": f"d_{c}"}), 1_000_000)
+            numbers = few(ordinals(points.select(c), scratch).withColumnsRenamed({"value": c, "number": f"d_{c}"}))
             points = points.join(numbers, c, "left").withColumn(f"d_{c}", F.coalesce(f"d_{c}", F.lit(0).cast("long"))).drop(c)
             dims[f"d_{c}"] = None
         points = scratch.put(points, "points")
@@ -178,4 +178,6 @@ def sharded_documents(docs: DataFrame, scratch: Scratch, **options) -> DataFrame
     key, shard, slot = (free_name(docs, n) for n in ("__place", "shard", "slot"))
     placed = docs.withColumn(key, F.monotonically_increasing_id())
     got = kd_shards(placed, scratch, key=F.col(key), **options)
-    return placed.join(got.select(F.col("key").alias(key), F.col("shard").alias(shard), F.col("slot").alias(slot)), key).drop(key)
+    got = scratch.put(got.select(F.col("key").alias(key), F.col("shard").alias(shard), F.col("slot").alias(slot)), "placed")
+    # texts are shuffled only where there are too many rows to send
+    return placed.join(few(got), key).drop(key)
