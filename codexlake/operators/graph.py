@@ -95,7 +95,7 @@ def topic_growth(articles: DataFrame, topics: DataFrame, a: int, b: int) -> Data
 def sentence_similarity(pairs: DataFrame, a: str, b: str) -> DataFrame:
     """Cosine of word counts and the number of sentences two texts share."""
     words = lambda c: F.filter(F.split(F.lower(c), r"[^a-z0-9]+"), lambda w: w != "")
-    sentences = lambda c: F.array_distinct(F.filter(F.transform(F.split(c, r"(?<=[.!?])\s+"), F.trim), lambda x: x != ""))
+    sentences = lambda c: F.array_distinct(F.filter(F.transform(F.split(c, r"(?<=[.!?])\s+"), lambda s: F.trim(s)), lambda x: x != ""))
     every = F.array_union(words(a), words(b))
     counts = lambda c: F.transform(every, lambda w: F.size(F.filter(words(c), lambda x: x == w)).cast("double"))
     dot = lambda x, y: F.aggregate(F.zip_with(x, y, lambda p, q: p * q), F.lit(0.0), lambda t, v: t + v)

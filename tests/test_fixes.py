@@ -5,7 +5,7 @@ import re
 from pyspark.sql import functions as F
 
 from codexlake.functions import patterns as P
-from codexlake.operators import chunk, classify, link, segment, stats
+from codexlake.operators import chunk, classify, graph, link, segment, stats
 from codexlake.plans.corpus import extract_corpus
 from codexlake.sources import sinks
 
@@ -156,3 +156,11 @@ def test_large_sections_are_cut_between_paragraphs():
     got = chunk.even_parts(text, 2000)
     assert all(len(t) <= 2000 for _, _, t in got) and got[0][0] == 0 and got[-1][1] == len(text.rstrip())
     assert " ".join(t for _, _, t in got).split() == text.split()
+
+
+def test_paragraphs_and_sentences_keep_the_digits_at_their_ends(spark):
+    docs = spark.createDataFrame([(1, "x" * 500 + "\n one, of 11 \n2 and 22\n\n")], "doc_id long, text string")
+    got = chunk.paragraphs(docs, "doc_id", "\n").orderBy("index").collect()
+    assert [(r["index"], r.text) for r in got] == [(0, "x" * 500), (1, "one, of 11"), (2, "2 and 22")]
+    pairs = spark.createDataFrame([("First. Of 1!", "Of 1!"), (" Of it. ", "Of it.")], "a string, b string")
+    assert [r.shared_sentences for r in graph.sentence_similarity(pairs, "a", "b").collect()] == [1, 1]
