@@ -28,6 +28,11 @@ def word_count(text: Column | str) -> Column:
     return F.size(F.filter(F.split(_c(text), r"(?U)\s+"), lambda w: w != "")).cast("long")
 
 
+def upper_by_letter(text: Column | str) -> Column:
+    """Upper case, but letters whose upper case is several stay as they are."""
+    return F.array_join(F.transform(F.split(_c(text), ""), lambda c: F.when(F.length(F.upper(c)) == 1, F.upper(c)).otherwise(c)), "")
+
+
 def normalize_headword(hw: Column | str) -> Column:
     """Upper case, single blanks, no comma, semicolon or colon at the end."""
     return F.regexp_replace(F.regexp_replace(F.upper(F.trim(_c(hw))), r"\s+", " "), r"[,;:]+$", "")

@@ -164,3 +164,11 @@ def test_paragraphs_and_sentences_keep_the_digits_at_their_ends(spark):
     assert [(r["index"], r.text) for r in got] == [(0, "x" * 500), (1, "one, of 11"), (2, "2 and 22")]
     pairs = spark.createDataFrame([("First. Of 1!", "Of 1!"), (" Of it. ", "Of it.")], "a string, b string")
     assert [r.shared_sentences for r in graph.sentence_similarity(pairs, "a", "b").collect()] == [1, 1]
+
+
+def test_a_sharp_s_is_no_repeated_headword(spark):
+    texts = ["SS ßen, der", "SS ß", "ss Ss ist", "Ab", "AB \n", "Ab ab", "Ab abc", "Ab ac", "", None, "\U0001d400 x"]
+    a = spark.createDataFrame(list(enumerate(texts)), "i long, text string")
+    headword = F.upper(F.regexp_extract("text", "^[A-Za-z]+", 0))
+    got = a.select("i", F.contains(classify.header_errors(headword, F.col("text")), F.lit("repeated_headword_only")).alias("x")).orderBy("i").collect()
+    assert [r.x for r in got] == [False, False, True, True, True, True, True, False, True, False, False]
