@@ -167,41 +167,55 @@ class Model:
         memory["steps"] += 1
         t2 = w // self.branch
         t1 = t2 // self.branch
-        r1, r2 = self.r[c1], self.r[c2]
+        # a context is the word before it, but at a text's or the minibatch's begin
+        xw, at1, at2 = self.r.take(w, 0), _apart(c1, w, 1), _apart(c2, w, 2)
+        r1, r2 = _behind(xw, 1), _behind(xw, 2)
+        r1[at1], r2[at2] = self.r.take(c1[at1], 0), self.r.take(c2[at2], 0)
         h = r1 @ self.c[0].T + r2 @ self.c[1].T
         # branches: noise is shared
         k = np.minimum(np.searchsorted(self.cdf, rng.random(noise) * self.cdf[-1]), len(self.cdf) - 1)
-        sk, st, shift = self.s1[k], self.s1[t1], np.float32(np.log(noise))
-        gt = _near((h * st).sum(1) + self.b1[t1] - self.log1[t1] - shift)
+        sk, st, shift = self.s1[k], self.s1.take(t1, 0), np.float32(np.log(noise))
+        gt = _near(np.einsum("td,td->t", h, st) + (self.b1 - self.log1).take(t1) - shift)
         gf = -_near(-(h @ sk.T + (self.b1[k] - self.log1[k] - shift)))
         gh = gt[:, None] * st + gf @ sk
-        grad = {"s1": _scatter(t1, gt[:, None] * h, len(self.s1)), "b1": np.bincount(t1, gt, len(self.s1)).astype(np.float32)}
+        by_dim = h.T.astype(np.float64, order="C")  # summed a dimension at a time
+        grad = {"s1": _scatter(t1, gt * by_dim, len(self.s1)), "b1": np.bincount(t1, gt, len(self.s1)).astype(np.float32)}
         np.add.at(grad["s1"], k, gf.T @ h)
         np.add.at(grad["b1"], k, gf.sum(0))
         # twigs, then leaves: noise from the target's siblings
         shift, found = np.float32(np.log(own)), {}
         for level, x, bias, to, parent in (("twig", self.s2, self.b2, t2, t1), ("leaf", self.r, self.b, w, t2)):
             lv = memory[level]
-            v = lv.drawn[parent[:, None], rng.integers(0, lv.drawn.shape[1], (len(w), own))]
-            xt, xv = x[to], x[v]
-            gt = _near((h * xt).sum(1) + bias[to] - lv.log[to] - shift)
-            gf = -_near(-(np.einsum("tod,td->to", xv, h) + (bias[v] - lv.log[v] - shift)))
+            draws = lv.drawn.shape[1]
+            v = lv.drawn.reshape(-1).take(parent[:, None] * draws + rng.integers(0, draws, (len(w), own)))
+            xt, xv = x.take(to, 0) if level == "twig" else xw, x.take(v, 0)
+            gt = _near(np.einsum("td,td->t", h, xt) + (bias.take(to) - lv.log.take(to) - shift))
+            gf = -_near(-(np.einsum("tod,td->to", xv, h) + (bias.take(v) - lv.log.take(v) - shift)))
             gh += gt[:, None] * xt + np.einsum("to,tod->td", gf, xv)
-            both = np.concatenate([gt, gf.ravel()])
-            found[level] = np.concatenate([to, v.ravel()]), both, np.concatenate([gt[:, None] * h, (gf[:, :, None] * h[:, None, :]).reshape(-1, self.dim)])
+            both = np.concatenate([gt, *gf.T]).astype(np.float64)
+            found[level] = np.concatenate([to, *v.T]), both, (both.reshape(-1, len(w)) * by_dim[:, None]).reshape(self.dim, -1)
         ids, g, gx = found["twig"]
         grad |= {"s2": _scatter(ids, gx, len(self.s2)), "b2": np.bincount(ids, g, len(self.s2)).astype(np.float32), "c": np.stack([gh.T @ r1, gh.T @ r2])}
         for p, x in grad.items():
             memory[p] += x * x
             setattr(self, p, getattr(self, p) + rate * x / np.sqrt(memory[p]))
-        # only the words in use
+        # only the words in use; contexts' gradients are added to those of the words before
         ids, g, gx = found["leaf"]
-        rows, to, used = np.unique(np.concatenate([ids, c1, c2]), return_inverse=True, return_counts=True)
-        memory["hits"][rows] += used
-        gr = _scatter(to, np.concatenate([gx, gh @ self.c[0], gh @ self.c[1]]), len(rows))
+        used = np.bincount(np.concatenate([ids, c1, c2]), minlength=self.n + 1)
+        rows = np.flatnonzero(used)
+        memory["hits"][rows] += used[rows]
+        g1, g2 = self.c[0].T @ gh.T, self.c[1].T @ gh.T
+        apart = g1[:, at1], g2[:, at2]
+        g1[:, at1], g2[:, at2] = 0, 0
+        for by, x in ((1, g1), (2, g2)):
+            gx[:, : max(0, len(w) - by)] += x[:, by:]
+        number = np.empty(len(used), np.int64)
+        number[rows] = np.arange(len(rows))
+        to = number.take(np.concatenate([ids, c1[at1], c2[at2]]))
+        gr = _scatter(to, np.concatenate([gx, *apart], 1), len(rows))
         gb = np.bincount(to[: len(ids)], g, len(rows)).astype(np.float32)
         for p, x in (("r", gr), ("b", gb)):
-            m = memory[p][rows] + x * x
+            m = memory[p].take(rows, 0) + x * x
             memory[p][rows] = m
             getattr(self, p)[rows] += rate * x / np.sqrt(m)
 
@@ -209,9 +223,9 @@ class Model:
         return np.concatenate([self._log10(c1[a : a + part], c2[a : a + part], w[a : a + part]) for a in range(0, len(w), part)] or [np.zeros(0)])
 
     def _log10(self, c1: np.ndarray, c2: np.ndarray, w: np.ndarray) -> np.ndarray:
-        order = np.argsort(w, kind="stable")
+        order = np.argsort(w)
         w = w[order]
-        h = self.r[c1[order]] @ self.c[0].T + self.r[c2[order]] @ self.c[1].T
+        h = self.r.take(c1[order], 0) @ self.c[0].T + self.r.take(c2[order], 0) @ self.c[1].T
         got = np.zeros(len(w))
         one = np.zeros(len(w), np.int64)
         t2 = w // self.branch
@@ -231,8 +245,24 @@ class Model:
         return out
 
 
-def _scatter(rows: np.ndarray, values: np.ndarray, n: int) -> np.ndarray:
-    return np.stack([np.bincount(rows, values[:, d], n) for d in range(values.shape[1])], 1).astype(np.float32)
+def _apart(c: np.ndarray, w: np.ndarray, by: int) -> np.ndarray:
+    """Where a context isn't the word ``by`` places before."""
+    return np.concatenate([np.arange(min(by, len(w))), np.flatnonzero(c[by:] != w[:-by]) + by])
+
+
+def _behind(x: np.ndarray, by: int) -> np.ndarray:
+    """Rows moved by ``by`` places; the first ones are unset."""
+    out = np.empty_like(x)
+    out[by:] = x[:-by]
+    return out
+
+
+def _scatter(rows: np.ndarray, by_dim: np.ndarray, n: int) -> np.ndarray:
+    """Sums by row; by_dim has a line for each dimension."""
+    out = np.empty((len(by_dim), n), np.float32)
+    for line, v in zip(out, by_dim, strict=True):
+        line[:] = np.bincount(rows, v, n)
+    return np.ascontiguousarray(out.T)
 
 
 def _log_share(h: np.ndarray, vectors: np.ndarray, bias: np.ndarray, pick: np.ndarray) -> np.ndarray:
@@ -240,9 +270,9 @@ def _log_share(h: np.ndarray, vectors: np.ndarray, bias: np.ndarray, pick: np.nd
     x = h @ vectors.T
     x += bias
     np.minimum(x, 80, out=x)  # so that the sum stays finite
-    at = x[np.arange(len(x)), pick].astype(np.float64)
+    at = x.reshape(-1).take(np.arange(0, x.size, x.shape[1]) + pick)
     np.exp(x, out=x)
-    return at - np.log(x.sum(1)).astype(np.float64)
+    return at.astype(np.float64) - np.log(x @ np.ones(x.shape[1], np.float32))
 
 
 def contexts(ids: np.ndarray, first: np.ndarray, before: int) -> tuple[np.ndarray, np.ndarray]:
@@ -263,18 +293,32 @@ class Words:
         self.place = np.empty(len(mass), np.int64)
         self.place[self.order] = np.arange(len(mass))
         tail = np.array([self.group(w) for w in words[own:]], np.int64)
-        self.slot = np.concatenate([self.place[:own], self.place[own + tail]])
+        # by number among the head from the front, by group from the end
+        self.slot = np.concatenate([self.place[:own], self.place[own + tail], self.place[own:][::-1]])
 
     def group(self, word: bytes) -> int:
         return crc32(word) % self.groups
 
-    def of(self, at: np.ndarray, groups: list[int]) -> np.ndarray:
-        """Places by number among the head, -1 with the next of ``groups``."""
-        out = np.empty(len(at), np.int64)
-        far = at < 0
-        out[~far] = self.slot[at[~far]]
-        out[far] = self.place[self.own + np.array(groups, np.int64)]
-        return out
+    def of(self, at: np.ndarray) -> np.ndarray:
+        """Places by number among the head, or -1 - group."""
+        return self.slot.take(at, mode="wrap")
+
+
+class Index(dict):
+    """Numbers of the head's words, and -1 - group of others, which are added to
+    ``far``."""
+
+    def __init__(self, words: list[bytes], places: Words):
+        super().__init__(zip(words, range(len(words)), strict=True))
+        self.group, self.far = places.group, []
+
+    def __missing__(self, word: bytes) -> int:
+        self.far.append(word)
+        return -1 - self.group(word)
+
+    def numbers(self, text: bytes | None) -> np.ndarray:
+        t = tokens(text)
+        return np.fromiter(map(self.__getitem__, t), np.int64, len(t))
 
 
 def fit(docs: DataFrame, text: str, words: list[bytes], places: Words, unigram: np.ndarray, dim: int, total: int, rounds: int, shard_tokens: int, batch_words: int = 8192) -> tuple[np.ndarray, np.ndarray]:
@@ -306,28 +350,25 @@ def _round(shared, number: int, batch_words: int):
     def run(batches):
         words, places, unigram, dim, dense, rows = shared.value
         own, rng = Model(unigram, dim).load(dense, rows), np.random.default_rng((9, number))
-        before, memory, ids = own.n, own.start(rng), {w: i for i, w in enumerate(words)}
-        seen, queue, groups, first = 0, [], [], []
+        before, memory, ids = own.n, own.start(rng), Index(words, places)
+        seen, size, queue = 0, 0, []
 
         def flush():
-            nonlocal seen, queue, groups, first
+            nonlocal seen, size, queue
             if queue:
-                w = places.of(np.fromiter(queue, np.int64, len(queue)), groups)
-                c1, c2 = contexts(w, np.array(first), before)
+                w = places.of(np.concatenate(queue))
+                c1, c2 = contexts(w, _begins(queue), before)
                 for a in range(0, len(w), batch_words):
                     own.train(c1[a : a + batch_words], c2[a : a + batch_words], w[a : a + batch_words], rng, memory)
                 seen += len(w)
-            queue, groups, first = [], [], []
+            size, queue = 0, []
 
         for batch in batches:
             for x in _bytes(batch.column(0)):
-                first.append(len(queue))
-                t = tokens(x)
-                got = [ids.get(y, -1) for y in t]
-                queue += got
-                if -1 in got:
-                    groups += [places.group(y) for y, i in zip(t, got, strict=True) if i < 0]
-                if len(queue) >= 16 * batch_words:
+                queue.append(ids.numbers(x))
+                ids.far.clear()
+                size += len(queue[-1])
+                if size >= 16 * batch_words:
                     flush()
         flush()
         if seen:
@@ -339,6 +380,10 @@ def _round(shared, number: int, batch_words: int):
     return run
 
 
+def _begins(parts: list[np.ndarray]) -> np.ndarray:
+    return np.cumsum([0, *(len(p) for p in parts[:-1])])
+
+
 def _packed(at: list[int], v: list[np.ndarray], n: list[np.ndarray]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array([x.astype(np.float32).tobytes() for x in v], pa.binary()), pa.array([x.tobytes() for x in n], pa.binary())], AVERAGED.names)
 
@@ -354,15 +399,15 @@ def _average(block: pa.Table) -> pa.Table:
     return pa.Table.from_batches([_packed([block["at"][0].as_py()], [mean], [n.astype(np.float32)])])
 
 
-_loaded: dict[str, tuple[dict, Words, Model, np.ndarray, np.ndarray]] = {}
+_loaded: dict[str, tuple[Index, Words, Model, np.ndarray, np.ndarray]] = {}
 
 
-def _open(name: str, b) -> tuple[dict[bytes, int], Words, Model, np.ndarray, np.ndarray]:
+def _open(name: str, b) -> tuple[Index, Words, Model, np.ndarray, np.ndarray]:
     """Built once in each Python worker."""
     if name not in _loaded:
         _loaded.clear()
         words, counts, places, unigram, vectors, shares, dim = b.value
-        _loaded[name] = {w: i for i, w in enumerate(words)}, places, Model(unigram, dim).load(*vectors), np.log10(counts + 1.0), shares
+        _loaded[name] = Index(words, places), places, Model(unigram, dim).load(*vectors), np.log10(counts + 1.0), shares
     return _loaded[name]
 
 
@@ -370,24 +415,17 @@ def scorer(shared):
     name = uuid.uuid4().hex
 
     def part(texts, index, places, model, logs, shares) -> list[list]:
-        flat: list[int] = []
-        groups: list[int] = []
-        first, rare = [], []
-        get = index.get
+        parts, rare = [], []
         for x in texts:
-            first.append(len(flat))
-            t = tokens(x)
-            got = [get(w, -1) for w in t]
-            flat += got
-            far = [w for w, i in zip(t, got, strict=True) if i < 0] if -1 in got else []
-            groups += [places.group(w) for w in far]
-            rare.append(Counter(far))
-        at = np.array(flat, np.int64)
-        begin = np.array(first)
-        ids = places.of(at, groups)
+            parts.append(index.numbers(x))
+            rare.append(Counter(index.far))
+            index.far.clear()
+        at = np.concatenate(parts)
+        begin = _begins(parts)
+        ids = places.of(at)
         grouped = ~((at >= 0) & (at < places.own))
         logp = model.log10(*contexts(ids, begin, model.n), ids)
-        log_c = np.where(at >= 0, logs[at], 0.0) if len(logs) else np.zeros(len(at))
+        log_c = np.where(at >= 0, logs.take(at, mode="clip"), 0.0) if len(logs) else np.zeros(len(at))
         sums = lambda v: np.add.reduceat(v, begin)
         return [np.diff(np.append(begin, len(at))), sums((at >= 0).astype(np.int64)), sums(log_c), sums(logp), sums(shares[ids]), sums(np.where(grouped, log_c, 0.0)), rare]
 

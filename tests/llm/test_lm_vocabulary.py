@@ -63,3 +63,38 @@ def test_empty_table_and_kept_columns_of_any_name(spark, documents, scratch):
     got = lm.score_texts(docs, F.lit(True), scratch, [F.col("doc_id"), F.col("s"), F.col("row")])
     assert got.columns[:3] == ["doc_id", "s", "row"] and sorted((r.doc_id, r.n_tokens) for r in got.collect()) == [(1, 3), (2, 1), (3, 1)]
     assert lm.score_texts(documents([]), F.lit(True), scratch, [F.col("doc_id")]).collect() == []
+
+
+def test_places_of_own_rare_and_unknown_words():
+    words, own = [b"a", b"b", b"c", b"d"], 2
+    mass = np.array([9.0, 2.0, 5.0, 1.0, 3.0])  # a, b and three groups
+    places = lm.Words(words, own, mass)
+    index = lm.Index(words, places)
+    got = index.numbers(b"A d x b zz")
+    assert index.far == [b"x", b"zz", b""]
+    falling = [int(i) for i in np.argsort(-mass)]
+    want = [falling.index(0 if w == b"a" else 1 if w == b"b" else own + places.group(w)) for w in (b"a", b"d", b"x", b"b", b"zz", b"")]
+    assert places.of(got).tolist() == want
+
+
+def test_a_minibatch_sums_gradients_as_one_scatter_does():
+    """Contexts that are the words before, those at texts' begins, and
+    minibatches of one and two words, against a plain sum over all rows."""
+    rng = np.random.default_rng(6)
+    u = np.sort(rng.random(30))[::-1]
+    u /= u.sum()
+    for n in (1, 2, 3, 50):
+        w = rng.integers(0, 30, n)
+        c1, c2 = lm.contexts(w, np.array([0] if n < 4 else [0, 7, 8]), 30)
+        models = [lm.Model(u, dim=4) for _ in range(2)]
+        memories = [m.start(np.random.default_rng(1)) for m in models]
+        for m, memory, cut in zip(models, memories, (lm._apart, lambda c, w, by: np.arange(len(w)))):
+            with_cut, lm._apart = lm._apart, cut
+            try:
+                m.train(c1, c2, w, np.random.default_rng(2), memory)
+            finally:
+                lm._apart = with_cut
+        for p in ("r", "b", "s1", "b1", "s2", "b2", "c"):
+            assert np.allclose(getattr(models[0], p), getattr(models[1], p), atol=1e-6)
+        assert memories[0]["hits"].tolist() == memories[1]["hits"].tolist()
+        assert memories[0]["hits"].sum() == 5 * n
