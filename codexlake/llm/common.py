@@ -119,6 +119,11 @@ def fold_of(c, k: int):
     return F.crc32(id_text(c).cast("binary")) % k
 
 
+#: Bytes of text that the stages of the pipeline measure at a time: their tables take
+#: some 60 bytes for each, and what a Python worker once took it keeps.
+PIECE = 1 << 18
+
+
 def text_parts(arr: pa.Array, limit: int = 1 << 21) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """Runs of rows of a text column with at most ``limit`` bytes (one row at
     least): first row, end row, their UTF-8 bytes and the rows' offsets in

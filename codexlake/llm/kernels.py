@@ -25,7 +25,7 @@ def powers(n: int, which: int = 0) -> tuple[np.ndarray, np.ndarray]:
     """Powers 0..n of the base and of its inverse modulo 2**64."""
     have = _powers.get(which)
     if have is None or len(have[0]) <= n:
-        size = max(n + 1, 1 << 21)
+        size = max(n + 1, 1 << 19 if n < 1 << 19 else 1 << 21)
         made = []
         for b in (BASE[which], pow(BASE[which], -1, 1 << 64)):
             p = np.full(size, b, np.uint64)

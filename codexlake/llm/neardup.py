@@ -41,7 +41,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import kernels as K
-from .common import Scratch, few, free_name, row_type, text_parts
+from .common import PIECE, Scratch, few, free_name, row_type, text_parts
 from .components import connected
 
 SAMPLES, BANDS, BITS, FINE = 128, 32, 512, 2048
@@ -56,7 +56,7 @@ _BAND = K.mix(np.arange(BANDS, dtype=np.uint64) + np.uint64(1))
 
 def shingle_sets(arr: pa.Array, size: int):
     """Row number and sorted distinct shingle hashes of each text with words."""
-    for a, b, data, offs in text_parts(arr, 1 << 20):
+    for a, b, data, offs in text_parts(arr, PIECE):
         h, first = K.word_hashes(K.LOWER[data], offs)
         windows = K.word_windows(h, size)
         for i in range(b - a):

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import kernels as K
-from .common import Scratch, free_name, row_type, text_parts
+from .common import PIECE, Scratch, free_name, row_type, text_parts
 
 METRICS = row_type(n_words="long", word_chars="long", n_symbols="long", n_dup_lines="long", n_repeat_words="long")
 _SYMBOL = np.zeros(256, bool)
@@ -35,7 +35,7 @@ def measure(arr: pa.Array, size: int = 5) -> pa.Array:
     """The counts of each text, as a struct array."""
     cols = [np.zeros(len(arr), np.int64) for _ in range(5)]
     n_words, chars, symbols, dup_lines, repeats = cols
-    for a, b, data, offs in text_parts(arr):
+    for a, b, data, offs in text_parts(arr, PIECE):
         start, end, first = K.words(data, offs)
         n_words[a:b] = np.diff(first)
         solid = ~K.SPACE[data] & ((data & 0xC0) != 0x80)
