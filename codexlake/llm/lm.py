@@ -28,14 +28,16 @@ grouped by text.
 Defined cases: a null text is empty (its end alone is scored); with no learning
 text every count is 0; an empty table gives an empty result; words that tie in
 count go by their bytes; repeated rows are scored each; kept columns may have any
-name; texts are scored some 2 MB at a time, and one that is longer in pieces, its
-rare words as one list.
+name; texts are read some 4 MB at a time, a longer one alone, and scored in parts of
+2^18 tokens; a text's rare words are one list.
 """
 
 from __future__ import annotations
 
 import uuid
 from collections import Counter
+from collections.abc import Iterator
+from itertools import pairwise
 from zlib import crc32
 
 import numpy as np
@@ -44,7 +46,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import Scratch, row_type
+from . import kernels as K
+from .common import Scratch, row_type, text_parts
 
 END = b""  # no word is empty
 BLOCK = 512  # words whose parameters travel in one row
@@ -58,9 +61,23 @@ def tokens(text: bytes | None) -> list[bytes]:
     return out
 
 
-def _bytes(arr: pa.Array):
-    arr = arr.cast(pa.large_binary())
-    return (x.as_py() for x in arr)
+def numbered(arr: pa.Array, limit: int = 1 << 22) -> Iterator[tuple[np.ndarray, list[bytes], np.ndarray]]:
+    """The tokens of some 4 MB of texts at a time: where each text begins, the
+    distinct tokens, and the number of each token among these. A token is held
+    with a line feed behind it, which no word has."""
+    for a, b, data, offs in text_parts(arr, limit):
+        lines, n = [], np.zeros(b - a + 1, np.int64)
+        for i, (x, y) in enumerate(pairwise(offs.tolist())):
+            found = tokens(data[x:y].tobytes())
+            n[i + 1] = len(found)
+            lines.append(b"\n".join(found))
+        lines.append(b"")
+        held = np.frombuffer(b"\n".join(lines), np.uint8)
+        ends = np.concatenate(([0], np.flatnonzero(held == 10) + 1))
+        coded = pa.Array.from_buffers(pa.large_binary(), len(ends) - 1, [None, pa.py_buffer(ends), pa.py_buffer(held)]).dictionary_encode()
+        _, ends, words = coded.dictionary.buffers()
+        end = np.frombuffer(ends, np.int64)[len(coded.dictionary)]
+        yield np.cumsum(n)[:-1], words[:end].to_pybytes().split(b"\n")[:-1], coded.indices.to_numpy()
 
 
 def word_counts(docs: DataFrame, text: str, flush: int = 300_000) -> DataFrame:
@@ -74,8 +91,9 @@ def word_counts(docs: DataFrame, text: str, flush: int = 300_000) -> DataFrame:
             return out
 
         for batch in batches:
-            for x in _bytes(batch.column(0)):
-                held.update(tokens(x))
+            for _, found, at in numbered(batch.column(0)):
+                for word, n in zip(found, np.bincount(at, minlength=len(found)).tolist(), strict=True):
+                    held[word] += n
                 if len(held) > flush:
                     yield rows()
         yield rows()
@@ -111,7 +129,10 @@ class Level:
 
 
 def _near(x: np.ndarray) -> np.ndarray:
-    return 1 / (1 + np.exp(np.clip(x, -30, 30)))
+    x = np.clip(x, -30, 30)
+    np.exp(x, out=x)
+    x += 1
+    return np.divide(1, x, out=x)
 
 
 class Model:
@@ -215,9 +236,14 @@ class Model:
         gr = _scatter(to, np.concatenate([gx, *apart], 1), len(rows))
         gb = np.bincount(to[: len(ids)], g, len(rows)).astype(np.float32)
         for p, x in (("r", gr), ("b", gb)):
-            m = memory[p].take(rows, 0) + x * x
+            m = memory[p].take(rows, 0)
+            m += x * x
             memory[p][rows] = m
-            getattr(self, p)[rows] += rate * x / np.sqrt(m)
+            np.sqrt(m, out=m)
+            x *= rate
+            x /= m
+            x += getattr(self, p).take(rows, 0)
+            getattr(self, p)[rows] = x
 
     def log10(self, c1: np.ndarray, c2: np.ndarray, w: np.ndarray, part: int = 1 << 18) -> np.ndarray:
         return np.concatenate([self._log10(c1[a : a + part], c2[a : a + part], w[a : a + part]) for a in range(0, len(w), part)] or [np.zeros(0)])
@@ -225,20 +251,22 @@ class Model:
     def _log10(self, c1: np.ndarray, c2: np.ndarray, w: np.ndarray) -> np.ndarray:
         order = np.argsort(w)
         w = w[order]
-        h = self.r.take(c1[order], 0) @ self.c[0].T + self.r.take(c2[order], 0) @ self.c[1].T
+        h = np.ones((len(w), self.dim + 1), np.float32)  # the last column takes the bias
+        h[:, :-1] = self.r.take(c1[order], 0) @ self.c[0].T + self.r.take(c2[order], 0) @ self.c[1].T
         got = np.zeros(len(w))
         one = np.zeros(len(w), np.int64)
         t2 = w // self.branch
         for x, bias, pick, parent in ((self.s1, self.b1, t2 // self.branch, one), (self.s2, self.b2, t2, t2 // self.branch), (self.r[: self.n], self.b[: self.n], w, t2)):
+            x = np.column_stack([x, bias])
             ends = np.append(np.flatnonzero(np.diff(parent)) + 1, len(w))
             begin = 0
             for end in ends.tolist():
                 lo = int(parent[begin]) * self.branch
-                xs, bs = x[lo : lo + self.branch], bias[lo : lo + self.branch]
-                if len(bs) > 1:
+                xs = x[lo : lo + self.branch]
+                if len(xs) > 1:
                     for a in range(begin, end, 4096):
                         b = min(a + 4096, end)
-                        got[a:b] += _log_share(h[a:b], xs, bs, pick[a:b] - lo)
+                        got[a:b] += _log_share(h[a:b], xs, pick[a:b] - lo)
                 begin = end
         out = np.empty(len(w))
         out[order] = got / np.log(10)
@@ -265,10 +293,9 @@ def _scatter(rows: np.ndarray, by_dim: np.ndarray, n: int) -> np.ndarray:
     return np.ascontiguousarray(out.T)
 
 
-def _log_share(h: np.ndarray, vectors: np.ndarray, bias: np.ndarray, pick: np.ndarray) -> np.ndarray:
+def _log_share(h: np.ndarray, vectors: np.ndarray, pick: np.ndarray) -> np.ndarray:
     """Logarithm of the softmax at pick."""
     x = h @ vectors.T
-    x += bias
     np.minimum(x, 80, out=x)  # so that the sum stays finite
     at = x.reshape(-1).take(np.arange(0, x.size, x.shape[1]) + pick)
     np.exp(x, out=x)
@@ -316,9 +343,11 @@ class Index(dict):
         self.far.append(word)
         return -1 - self.group(word)
 
+    def all(self, words: list[bytes]) -> np.ndarray:
+        return np.fromiter(map(self.__getitem__, words), np.int64, len(words))
+
     def numbers(self, text: bytes | None) -> np.ndarray:
-        t = tokens(text)
-        return np.fromiter(map(self.__getitem__, t), np.int64, len(t))
+        return self.all(tokens(text))
 
 
 def fit(docs: DataFrame, text: str, words: list[bytes], places: Words, unigram: np.ndarray, dim: int, total: int, rounds: int, shard_tokens: int, batch_words: int = 8192) -> tuple[np.ndarray, np.ndarray]:
@@ -351,23 +380,24 @@ def _round(shared, number: int, batch_words: int):
         words, places, unigram, dim, dense, rows = shared.value
         own, rng = Model(unigram, dim).load(dense, rows), np.random.default_rng((9, number))
         before, memory, ids = own.n, own.start(rng), Index(words, places)
-        seen, size, queue = 0, 0, []
+        seen, size, queue, begins = 0, 0, [], []
 
         def flush():
-            nonlocal seen, size, queue
+            nonlocal seen, size, queue, begins
             if queue:
                 w = places.of(np.concatenate(queue))
-                c1, c2 = contexts(w, _begins(queue), before)
+                c1, c2 = contexts(w, np.concatenate(begins), before)
                 for a in range(0, len(w), batch_words):
                     own.train(c1[a : a + batch_words], c2[a : a + batch_words], w[a : a + batch_words], rng, memory)
                 seen += len(w)
-            size, queue = 0, []
+            size, queue, begins = 0, [], []
 
         for batch in batches:
-            for x in _bytes(batch.column(0)):
-                queue.append(ids.numbers(x))
+            for begin, found, at in numbered(batch.column(0)):
+                queue.append(ids.all(found)[at])
+                begins.append(size + begin)
                 ids.far.clear()
-                size += len(queue[-1])
+                size += len(at)
                 if size >= 16 * batch_words:
                     flush()
         flush()
@@ -380,10 +410,6 @@ def _round(shared, number: int, batch_words: int):
     return run
 
 
-def _begins(parts: list[np.ndarray]) -> np.ndarray:
-    return np.cumsum([0, *(len(p) for p in parts[:-1])])
-
-
 def _packed(at: list[int], v: list[np.ndarray], n: list[np.ndarray]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array([x.astype(np.float32).tobytes() for x in v], pa.binary()), pa.array([x.tobytes() for x in n], pa.binary())], AVERAGED.names)
 
@@ -414,29 +440,29 @@ def _open(name: str, b) -> tuple[Index, Words, Model, np.ndarray, np.ndarray]:
 def scorer(shared):
     name = uuid.uuid4().hex
 
-    def part(texts, index, places, model, logs, shares) -> list[list]:
-        parts, rare = [], []
-        for x in texts:
-            parts.append(index.numbers(x))
-            rare.append(Counter(index.far))
-            index.far.clear()
-        at = np.concatenate(parts)
-        begin = _begins(parts)
+    def part(begin, found, code, index, places, model, logs, shares) -> pa.Array:
+        number = index.all(found)
+        index.far.clear()
+        at = number[code]
         ids = places.of(at)
         grouped = ~((at >= 0) & (at < places.own))
         logp = model.log10(*contexts(ids, begin, model.n), ids)
         log_c = np.where(at >= 0, logs.take(at, mode="clip"), 0.0) if len(logs) else np.zeros(len(at))
         sums = lambda v: np.add.reduceat(v, begin)
-        return [np.diff(np.append(begin, len(at))), sums((at >= 0).astype(np.int64)), sums(log_c), sums(logp), sums(shares[ids]), sums(np.where(grouped, log_c, 0.0)), rare]
+        cols = [np.diff(np.append(begin, len(at))), sums((at >= 0).astype(np.int64)), sums(log_c), sums(logp), sums(shares[ids]), sums(np.where(grouped, log_c, 0.0))]
+        # words beyond the head, counted by text
+        far = np.flatnonzero(at < 0)
+        text = np.searchsorted(begin, far, "right") - 1
+        pairs, n = np.unique(text * len(found) + code[far], return_counts=True)
+        cut = pa.array(np.searchsorted(pairs, np.arange(len(begin) + 1) * len(found)).astype(np.int32))
+        rare = pa.array([found[i] for i in (pairs % len(found)).tolist()], pa.binary())
+        lists = [pa.ListArray.from_arrays(cut, rare), pa.ListArray.from_arrays(cut, pa.array(n.astype(np.int64)))]
+        return pa.StructArray.from_arrays([*(pa.array(c) for c in cols), *lists], SCORED.names)
 
     @F.arrow_udf(SCORED)
     def score(text: pa.Array) -> pa.Array:
         held = _open(name, shared)
-        out = []
-        for a in range(0, len(text), 1000):
-            *cols, rare = part(_bytes(text.slice(a, 1000)), *held)
-            lists = [pa.array([list(r) for r in rare], pa.list_(pa.binary())), pa.array([list(r.values()) for r in rare], pa.list_(pa.int64()))]
-            out.append(pa.StructArray.from_arrays([*(pa.array(c) for c in cols), *lists], SCORED.names))
+        out = [part(*x, *held) for x in numbered(text)]
         return pa.concat_arrays(out) if out else pa.array([], pa.struct([]))
 
     return score
